@@ -24,6 +24,8 @@ from ledgerline.llm._common import texts
 GRAM = 32
 #: Bytes of text hashed at a time, and bytes of a shard's suffix array.
 CHUNK, SHARD = 1 << 17, 1 << 19
+#: Stands for a null doc_id; before all others.
+NO_ID = -(1 << 63)
 
 
 def least_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,8 +182,8 @@ def repeats(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id as `id` (nulls before all), `th` that tells rows of one doc_id apart, and the text."""
-    return docs.selectExpr("CAST(doc_id AS BIGINT) doc_id", "coalesce(text, '') text").selectExpr("doc_id", f"coalesce(doc_id, {-(1 << 63)}) id", "xxhash64(text) th", "text")
+    """doc_id as `id` (nulls as the least number), `th` that tells rows of one doc_id apart, and the text."""
+    return docs.selectExpr(f"coalesce(CAST(doc_id AS BIGINT), {NO_ID}) id", "coalesce(text, '') text").selectExpr("id", "xxhash64(text) th", "text")
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -303,7 +305,7 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
-    """From rows (doc_id, text, gone): what is left of each text."""
+    """From rows (id, text, gone): what is left of each text."""
 
     def cut(batches: Iterator) -> Iterator:
         import hashlib
@@ -332,7 +334,8 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
                 out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
                 out["kept"].append(left)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], ["doc_id", *out])
+            ids = pa.array([None if i == NO_ID else i for i in batch.column("id").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], ["doc_id", *out])
 
     return docs.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
@@ -346,7 +349,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     rows of one doc_id and different texts are ordered by a hash of the text; null doc_ids come before all others; an
     empty table gives an empty result; other columns are not read.
     """
-    rows = _keyed(docs)
+    rows = _keyed(docs)  # both joins below read the same exchange of these
     count = F.count("*").over(Window.partitionBy("least", "salt"))
     found = _anchors(rows, length).withColumn("known", F.col("known") | (count > 1)).where("known")
     wanted = found.groupBy("id", "th").agg(F.collect_list("first").alias("firsts"))
@@ -354,4 +357,4 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     gone = _shards(routed.repartition(n, "least", "salt").sortWithinPartitions("least", "id", "th", "first"), length)
     spans = gone.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("gone"))
-    return _cut(rows.join(spans, ["id", "th"], "left").select("doc_id", "text", "gone"), length)
+    return _cut(rows.join(spans, ["id", "th"], "left").select("id", "text", "gone"), length)
