@@ -1,15 +1,14 @@
 """Near-duplicate documents by HyperMinHash banding, with exact links.
 
 A document's shingle set is sketched into REGISTERS buckets; a register keeps the leading-zero count and MANTISSA bits of
-the bucket's smallest hash (16 bits), empty ones borrow from the next full one. Bands of ROWS registers put documents into
-buckets. Each bucket is compared with one hub, its smallest document; links are confirmed on full sets.
+the bucket's smallest hash (16 bits), empty ones borrow from full ones in a random order of their own. Bands of ROWS registers put documents into
+buckets. Each bucket is compared with one hub, its document that shares most buckets; links are confirmed on full sets.
 
 Pairs inside a bucket are not emitted. For a member m of the bucket of hub o let M = o - m and X = m - o. If f is not
 linked with o, then f and v are linked only if their differences (M and X) share more than (5 |M_v| + 4 |X_v|) / 9 elements,
-that is over half of v's. So f and v must share one of the first |D_v| - need + 1 elements of v's differences in any fixed
-order: a prefix join on differences finds every such pair, and since the differences of edited copies are mostly their own,
-it finds few others. Found pairs are first estimated from the registers (collisions subtracted), those that miss the
-threshold by more than a bound of 1e-12 error go, the others are verified on full sets.
+that is over half of v's. The differences of edited copies are mostly their own, so a join on the differences that
+more than one member has finds every such pair and few others (see met_by_differences). Pairs so found are first
+estimated from the registers (collisions subtracted), those that miss the threshold by more than a bound of 1e-12 error go, the others are verified on full sets.
 """
 
 from __future__ import annotations
@@ -25,6 +24,8 @@ from ledgerline.llm._common import WordHashes, components, shingles, small_or_sh
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
 REGISTERS = BANDS * ROWS
+#: What empty registers borrow from: row i has, for each, the i-th register that it asks.
+PROBES = np.random.default_rng(20).integers(0, REGISTERS, (400, REGISTERS))
 
 
 def registers(s: np.ndarray) -> np.ndarray:
@@ -35,10 +36,19 @@ def registers(s: np.ndarray) -> np.ndarray:
     rest = (s[first] * np.uint64(REGISTERS)) >> np.uint64(11)
     m, e = np.frexp(rest.astype(np.float64) + 1.0)
     value = ((54 - e) << MANTISSA | ((m - 0.5) * (2 << MANTISSA)).astype(np.int64) & ((1 << MANTISSA) - 1)).astype(np.uint16)
-    full = bins[first].astype(np.int64)
-    at = np.searchsorted(full, np.arange(REGISTERS)) % len(full)
-    away = (full[at] - np.arange(REGISTERS)) % REGISTERS  # borrowed over a distance: part of the value
-    return (value[at].astype(np.int64) + away * 0x9E37).astype(np.uint16)
+    out, full = np.zeros(REGISTERS, np.uint16), np.zeros(REGISTERS, bool)
+    at = bins[first].astype(np.int64)
+    out[at], full[at] = value, True
+    empty = np.flatnonzero(~full)
+    for probe in PROBES:  # each empty one asks others in an order of its own
+        if not len(empty):
+            return out
+        asked = probe[empty]
+        got = full[asked]
+        out[empty[got]] = out[asked[got]]
+        empty = empty[~got]
+    out[empty] = value[np.searchsorted(at, empty) % len(at)]
+    return out
 
 
 def collisions(n: int, m: int) -> float:
@@ -99,39 +109,64 @@ def linked(inter: int, n: int, m: int, percent: int) -> bool:
 
 
 def against_hub(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each edge (hub, id) on full sets: linked, and as elements the differences by which other members are found.
+    """Each edge (hub, id) on full sets: is_link, the sizes o of the hub, m of what is missing and x of what is extra, and both.
 
-    prefix: of every member, those that a pair with an unlinked member must share one of; probe: of unlinked ones, all.
+    gone is whole for members that are not linked; of linked ones it is what a pair must share one of, if not of extra.
     """
-    # linked: (100 + p) I >= p (n + m), p in percent; with f unlinked to the hub it follows (100 + p) shared >= 100 |M| + p |X| + 1
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            out: dict[str, list] = {"is_link": [], "prefix": [], "probe": []}
+            out: dict[str, list] = {"is_link": [], "o": [], "m": [], "x": [], "lead": [], "extra": [], "gone": []}
             hubs, ids = batch.column("hub_elems").to_pylist(), batch.column("elems").to_pylist()
             for a, b in zip(hubs, ids, strict=True):
-                o, m = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                at = np.searchsorted(o, m)
-                common = np.zeros(len(m), bool)
-                inside = at < len(o)
-                common[inside] = o[at[inside]] == m[inside]
-                missing = np.ones(len(o), bool)
-                missing[at[common]] = False
-                extra = m[~common] | np.uint64(1)
-                gone = o[missing] & ~np.uint64(1)
-                diff = np.concatenate([extra, gone]).view(np.int64)
-                link = linked(int(common.sum()), len(o), len(m), percent)
+                o, m = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+                extra, gone = np.setdiff1d(m, o, assume_unique=True), np.setdiff1d(o, m, assume_unique=True)
+                link = linked(len(m) - len(extra), len(o), len(m), percent)
+                # linked: (100 + p) I >= p (n + m), p in percent; with f unlinked to the hub it follows (100 + p) shared >= 100 |M| + p |X| + 1
                 need = -(-(100 * len(gone) + percent * len(extra) + 1) // (100 + percent))
+                lead = max(0, len(gone) - need + 1)
                 out["is_link"].append(link)
-                out["prefix"].append(diff[: max(0, len(diff) - need + 1)])
-                out["probe"].append(None if link else diff)
-            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("id"), pa.array(out["is_link"], pa.bool_()), pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["probe"], pa.list_(pa.int64()))], ["hub", "id", "is_link", "prefix", "probe"])
+                out["o"].append(len(o))
+                out["m"].append(len(gone))
+                out["x"].append(len(extra))
+                out["lead"].append(lead)
+                out["extra"].append(extra)
+                out["gone"].append(gone[:lead] if link else gone)
+            kinds = (pa.bool_(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2)
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("id"), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], ["hub", "id", *out])
 
     own = edges.join(sets.select("id", "elems"), "id")
     both = own.join(sets.select(F.col("id").alias("hub"), F.col("elems").alias("hub_elems")), "hub")
-    return both.select("hub", "id", "hub_elems", "elems").mapInArrow(compare, "hub long, id long, is_link boolean, prefix array<long>, probe array<long>")
+    return both.select("hub", "id", "hub_elems", "elems").mapInArrow(compare, "hub long, id long, is_link boolean, o long, m long, x long, lead long, extra array<long>, gone array<long>")
+
+
+def met_by_differences(star: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one hub, not both linked with it, that may be linked.
+
+    With M and X of both members, (100 + p) shared >= 100 (|M_f| + |M_v|) + p (|X_f| + |X_v|) - (100 - p) |o|, and what
+    they share is at most the smaller M and the smaller number of extra elements that any other member has too. A pair
+    shares an extra element, or more than `lead` leaves out of M in the order of elements.
+    """
+    sizes = ["hub", "id", "is_link", "o", "m", "x"]
+    extra = star.select("hub", "id", F.explode("extra").alias("e"))
+    twice = extra.groupBy("hub", "e").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    common = stored(extra.join(twice, ["hub", "e"]), "common-differences")
+    star = star.join(common.groupBy("hub", "id").agg(F.count("*").alias("c")), ["hub", "id"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    sized = common.join(star.select(*sizes, "c"), ["hub", "id"])
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("hub", "e", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "is_link", "o", "m", "x", "c")])
+
+    room = f"{100 + percent} * (least(f_m, v_m) + least(f_c, v_c)) >= 100 * (f_m + v_m) + {percent} * (f_x + v_x) - {100 - percent} * f_o"
+    meet = f"f_id <> v_id AND NOT f_is_link AND {room}"
+    by_extra = side(sized.where("NOT is_link"), "f").join(side(sized, "v"), ["hub", "e"]).where(f"{meet} AND (v_is_link OR v_id < f_id)")
+    lead = star.where("lead > 0").withColumn("e", F.explode(F.expr("slice(gone, 1, CAST(lead AS INT))")))
+    all_gone = star.where("NOT is_link").withColumn("e", F.explode("gone"))
+    by_gone = side(all_gone, "f").join(side(lead, "v"), ["hub", "e"]).where(meet)
+    ends = [F.least("f_id", "v_id").alias("a"), F.greatest("f_id", "v_id").alias("b")]
+    return by_extra.select(*ends).union(by_gone.select(*ends)).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,14 +217,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = known.where(F.col("n_shingles") >= least).join(classes, (known.digest == classes.digest) & (F.col("doc_id") == F.col("rep")), "left_semi")
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])
     bands = reps.select(F.col("doc_id").alias("id"), F.explode(keys).alias("band"))
-    hubs = bands.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").drop("last")
-    edges = stored(bands.join(hubs, "band").where("id <> hub").select("hub", "id").distinct(), "candidates")
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    met = stored(bands.join(shared, "band"), "buckets")
+    # the text that others were made from shares most buckets: it is the hub, and its copies' differences are their own
+    degree = met.groupBy("id").agg(F.sum("n").alias("degree"))
+    hubs = met.join(degree, "id").groupBy("band").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("hub"))
+    edges = stored(met.join(hubs, "band").where("id <> hub").select("hub", "id").distinct(), "candidates")
     ids = stored(edges.select("id").union(edges.select("hub")).distinct(), "ids")
     sets = stored(full_sets(docs, ids, k), "sets")
     star = stored(against_hub(edges, sets, percent), "stars")
-    index = star.select("hub", F.explode("prefix").alias("x"), F.col("id").alias("v"))
-    probe = star.where("NOT is_link").select("hub", F.explode("probe").alias("x"), F.col("id").alias("f"))
-    pairs = probe.join(index, ["hub", "x"]).where("f <> v").select(F.least("f", "v").alias("a"), F.greatest("f", "v").alias("b")).distinct()
+    pairs = met_by_differences(star, percent)
     links = star.where("is_link").select(F.col("hub").alias("a"), F.col("id").alias("b")).union(confirmed(pairs, sets, percent))
     groups = components(links).withColumnsRenamed({"node": "rep", "component": "linked_id"})
     of_class = classes.join(groups, "rep", "left").select("digest", F.coalesce("linked_id", "rep").alias("component_id"))
