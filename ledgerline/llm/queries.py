@@ -19,12 +19,24 @@ def op1_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op2_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op2_language import identified
+
+    return identified(_documents(spark, sf_dir))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.op3_minhash import near_duplicates
 
     return near_duplicates(_documents(spark, sf_dir), k=4, percent=80)
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op4_line_dedup import deduplicated
+
+    return deduplicated(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.op5_stream_dedup import exact_duplicates
 
@@ -37,6 +49,24 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(_documents(spark, sf_dir).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op7_permutation_index import nearest
+
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
+
+
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op8_surrogates import pseudonymised
+
+    return pseudonymised(_documents(spark, sf_dir))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op9_licenses import licensed
+
+    return licensed(_documents(spark, sf_dir))
+
+
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.op10_suffix_dedup import without_repeats
 
@@ -44,11 +74,19 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_pack_best_fit": op1_pack_best_fit,
-    "op3_near_duplicates": op3_near_duplicates,
-    "op5_exact_duplicates": op5_exact_duplicates,
-    "op6_mix_sources": op6_mix_sources,
-    "op10_suffix_repeats": op10_suffix_repeats,
+    f.__name__: f
+    for f in (
+        op1_pack_best_fit,
+        op2_language_families,
+        op3_near_duplicates,
+        op4_fuzzy_lines,
+        op5_exact_duplicates,
+        op6_mix_sources,
+        op7_permutation_index,
+        op8_surrogates,
+        op9_licenses,
+        op10_suffix_repeats,
+    )
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
