@@ -1,7 +1,10 @@
 """Nearest neighbours by a permutation index: vectors as ordered nearest pivots, posted in pivot inverted files.
 
-A vector is represented by its NEAR nearest pivots in order. Queries meet the vectors that share pivots with them, which
-are ranked by the footrule distance of the two orders; the best CANDIDATES are ranked again by cosine on the vectors.
+A vector is represented by its NEAR nearest pivots in order. The index is dealt in blocks of BLOCK rows, each with an
+inverted file of its own: for every pivot, the rows that have it and its place in their order. A query goes through the
+postings of its QUERY_NEAR nearest pivots in every block, which ranks the block's rows by the footrule distance of the two
+orders; the SHARE nearest of them are ranked again by cosine on the vectors. Queries are dealt in blocks too, so that
+index and queries meet block by block, and every block returns its few best.
 Vectors with equal components are one class in the index, with its smallest members.
 """
 
@@ -10,14 +13,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm._common import stored
 
-#: One pivot for so many classes, so that posting lists keep their length; at most MAX_PIVOTS, which reach every task.
-CLASSES_PER_PIVOT, MAX_PIVOTS = 50, 4096
-NEAR, CANDIDATES = 10, 250
+#: Pivots: the first classes by hash, a bounded sample that reaches every task.
+PIVOTS, NEAR, QUERY_NEAR = 256, 128, 64
+BLOCK, QUERY_BLOCK = 8192, 512
+#: Of a block's rows, so many are ranked again, or all if there are fewer than LEAST.
+SHARE, LEAST = 0.03, 250
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -28,48 +34,64 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(dim.select("d")), F.size("v") == F.col("d"), "left_semi")
 
 
-def orders(classes: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Postings (cls, pivot, place) of rows (cls, v): the NEAR nearest pivots by cosine, place from 0."""
-    near = min(NEAR, len(pivots))
+def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
+    """The near nearest pivots of each row of x, nearest first."""
+    far = -(x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.T
+    return np.argsort(far, axis=1, kind="stable")[:, :near].astype(np.int16)
 
-    def post(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        for batch in batches:
-            ids = batch.column("cls").to_numpy()
-            v = np.stack(batch.column("v").to_numpy(zero_copy_only=False)).astype(np.float64) if len(ids) else np.zeros((0, pivots.shape[1]))
-            for at in range(0, len(ids), 1024):
-                x = v[at : at + 1024]
-                far = -(x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.T
-                top = np.argsort(far, axis=1, kind="stable")[:, :near].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at : at + 1024], near)), pa.array(top.ravel()), pa.array(np.tile(np.arange(near, dtype=np.int32), len(x)))], ["cls", "pivot", "place"])
+def blocks(rows: DataFrame, size: int, pivots: np.ndarray, near: int, name: str) -> tuple[DataFrame, int]:
+    """One row (block, ids, v, orders) for about `size` of rows (id, v), dealt by hash; and how many blocks."""
+    n = max(1, -(-rows.count() // size))
 
-    return classes.select("cls", "v").mapInArrow(post, "cls long, pivot int, place int")
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id")
+        x = np.stack(part["v"].to_numpy()).astype(np.float64)
+        return pd.DataFrame({"block": part["block"].iloc[:1], "ids": [part["id"].to_numpy()], "v": [x.tobytes()], "orders": [orders(x, pivots, near).tobytes()]})
 
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    return stored(dealt.groupBy("block").applyInPandas(pack, "block int, ids array<long>, v binary, orders binary"), name), n
 
-def scored(pairs: DataFrame) -> DataFrame:
-    """Rows (q, c, ids, a, b) with the cosine of a and b in double precision."""
 
-    def score(batches: Iterator) -> Iterator:
+def searched(met: DataFrame, near: int, asked: int, k: int) -> DataFrame:
+    """Of each pair of an index block and a query block (ids, v, orders, qids, qv, qorders): rows (q, cls, score), k a query."""
+
+    def search(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for a, b in zip(batch.column("a").to_numpy(zero_copy_only=False), batch.column("b").to_numpy(zero_copy_only=False), strict=True):
-                a, b = a.astype(np.float64), b.astype(np.float64)
-                out.append(float(a @ b / (np.sqrt(a @ a) * np.sqrt(b @ b))))
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("ids"), pa.array(out, pa.float64())], ["q", "ids", "score"])
-
-    return pairs.select("q", "ids", "a", "b").mapInArrow(score, "q long, ids array<long>, score double")
+            found: list[tuple] = []
+            for ids, v, order, qids, qv, qorder in zip(*(batch.column(c).to_pylist() for c in ("ids", "v", "orders", "qids", "qv", "qorders")), strict=True):
+                x, q = np.frombuffer(v).reshape(len(ids), -1), np.frombuffer(qv).reshape(len(qids), -1)
+                pivot = np.frombuffer(order, np.int16)
+                by = np.argsort(pivot, kind="stable")
+                row, place = by // near, (by % near).astype(np.int32)
+                ends = np.searchsorted(pivot[by], np.arange(PIVOTS + 1))
+                norms, ids = np.sqrt(np.einsum("ij,ij->i", x, x)), np.array(ids)
+                best = min(len(ids), max(LEAST, int(np.ceil(SHARE * len(ids)))))
+                for a, y, its in zip(qids, q, np.frombuffer(qorder, np.int16).reshape(len(qids), -1), strict=True):
+                    # the footrule of two orders falls by what shared pivots gain: near - max(place, place) each
+                    gain = np.zeros(len(ids), np.int32)
+                    for j, p in enumerate(its[:asked].tolist()):
+                        posting = slice(ends[p], ends[p + 1])
+                        gain[row[posting]] += near - np.maximum(place[posting], j)
+                    top = np.argpartition(-gain, best - 1)[:best]
+                    score = np.einsum("ij,j->i", x[top], y) / (norms[top] * np.sqrt(y @ y))
+                    first = np.lexsort((ids[top], -score))[:k]
+                    found += zip([a] * len(first), ids[top][first].tolist(), score[first].tolist(), strict=True)
+            cols = list(zip(*found, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["q", "cls", "score"])
+
+    return met.select("ids", "v", "orders", "qids", "qv", "qorders").mapInArrow(search, "q long, cls long, score double")
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The k nearest found by cosine for each row of vectors (vec_id, embedding) whose vec_id is divisible by every.
 
     Rows (query_id, rank from 1, vec_id, score); ties go to the smaller vec_id; candidates are all rows but those of the
-    query's own vec_id. Up to NEAR * CLASSES_PER_PIVOT classes all orders hold all pivots, so with CANDIDATES classes or
-    fewer the search is exact. Defined results: rows that take no part (see usable) are neither queries nor found; a query
-    with fewer candidates than k gets them all; rows that repeat vec_id and vector count once; an empty table gives an empty result.
+    query's own vec_id. With LEAST classes a block or fewer the search is exact. Defined results: rows that take no part
+    (see usable) are neither queries nor found; a query with fewer candidates than k gets them all; rows that repeat vec_id
+    and vector count once; an empty table gives an empty result; other columns are not read.
     """
     rows = usable(vectors)
     spark = vectors.sparkSession
@@ -78,24 +100,18 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     few = rows.distinct().withColumn("n", F.row_number().over(small)).where(F.col("n") <= k + 1)
     classes = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     classes = stored(classes.withColumn("cls", F.xxhash64("v")), "classes")
-    count = classes.count()
-    found = "query_id long, rank int, vec_id long, score double"
-    if not count:
-        return spark.createDataFrame([], found)
-    n = min(MAX_PIVOTS, max(min(count, NEAR), count // CLASSES_PER_PIVOT))
-    sample = np.array([r.v for r in classes.orderBy(F.xxhash64("cls"), "cls").limit(n).select("v").collect()], np.float64)
-    pivots = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    posted = stored(orders(classes, pivots), "postings")
-    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
-    asked = stored(queries.withColumn("q", F.xxhash64("v")).select("vec_id", "q"), "queries")
-    heads = asked.select("q").distinct()
-    near = min(NEAR, n)
-    own = posted.join(heads, posted.cls == heads.q, "left_semi").select(F.col("cls").alias("q"), "pivot", F.col("place").alias("at"))
-    # the footrule of two orders is a constant less twice what shared pivots gain: near - max(at, place) each
-    gains = own.join(posted, "pivot").groupBy("q", "cls").agg(F.sum(near - F.greatest("at", "place")).alias("gain"))
-    best = gains.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("gain"), "cls"))).where(F.col("n") <= CANDIDATES)
-    sides = best.select("q", "cls").join(classes.select("cls", "ids", F.col("v").alias("b")), "cls").join(classes.select(F.col("cls").alias("q"), F.col("v").alias("a")), "q")
-    each = scored(sides).select("q", "score", F.explode("ids").alias("vec_id")).distinct()
+    sample = [r.v for r in classes.orderBy("cls").limit(PIVOTS).select("v").collect()]
+    if not sample:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    pivots = np.array(sample, np.float64)
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    near = min(NEAR, len(pivots))
+    asked = stored(rows.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.xxhash64("v").alias("q")).distinct(), "queries")
+    index, n = blocks(classes.select(F.col("cls").alias("id"), "v"), BLOCK, pivots, near, "index")
+    queries, _ = blocks(asked.select(F.col("q").alias("id"), "v").distinct(), QUERY_BLOCK, pivots, near, "query-blocks")
+    to_all = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.col("ids").alias("qids"), F.col("v").alias("qv"), F.col("orders").alias("qorders"))
+    best = searched(to_all.join(index, "block"), near, min(QUERY_NEAR, near), k + 1)
+    each = best.join(classes.select("cls", "ids"), "cls").select("q", "score", F.explode("ids").alias("vec_id")).distinct()
     top = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     lists = each.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).groupBy("q").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
     out = asked.join(lists, "q").select(F.col("vec_id").alias("query_id"), F.expr(f"slice(filter(found, x -> x.vec_id <> vec_id), 1, {k})").alias("found"))
