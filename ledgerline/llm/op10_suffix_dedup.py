@@ -183,7 +183,7 @@ def repeats(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id as `id` (nulls as the least number), `th` that tells rows of one doc_id apart, and the text."""
-    return docs.selectExpr(f"coalesce(CAST(doc_id AS BIGINT), {NO_ID}) id", "coalesce(text, '') text").selectExpr("id", "xxhash64(text) th", "text")
+    return docs.selectExpr(f"coalesce(CAST(doc_id AS BIGINT), {NO_ID}) id", "coalesce(text, '') text").selectExpr("id", "hash(text) th", "text")
 
 
 def _anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -202,7 +202,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
             salt = np.where(stands, 0, 1 + (doc & 0xFF))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (least, salt, ids[doc], th[doc], first, known)], ["least", "salt", "id", "th", "first", "known"])
 
-    return docs.select("id", "th", "text").mapInArrow(scan, "least long, salt long, id long, th long, first long, known boolean")
+    return docs.select("id", "th", "text").mapInArrow(scan, "least long, salt long, id long, th int, first long, known boolean")
 
 
 def _routed(docs: DataFrame, length: int) -> DataFrame:
@@ -232,7 +232,7 @@ def _routed(docs: DataFrame, length: int) -> DataFrame:
             salt = np.array([0 if p is not None else 1 + (k & 0xFF) for k, p in enumerate(parts)], np.int64)
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (least, salt, ids[doc], th[doc], first, n)), pa.array(parts, pa.binary())], ["least", "salt", "id", "th", "first", "n", "part"])
 
-    return docs.select("id", "th", "text", "firsts").mapInArrow(route, "least long, salt long, id long, th long, first long, n long, part binary")
+    return docs.select("id", "th", "text", "firsts").mapInArrow(route, "least long, salt long, id long, th int, first long, n long, part binary")
 
 
 def _shards(rows: DataFrame, length: int) -> DataFrame:
@@ -288,7 +288,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
 
         def told(out: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*out, strict=True)) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "th", "first", "n"])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["id", "th", "first", "n"])
 
         for batch in batches:
             for x in zip(*(batch.column(c).to_pylist() for c in ("least", "id", "th", "first", "n", "part")), strict=True):
@@ -301,7 +302,7 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
         if held:
             yield told(solve(held, earlier, False)[0])
 
-    return rows.select("least", "id", "th", "first", "n", "part").mapInArrow(work, "id long, th long, first long, n long")
+    return rows.select("least", "id", "th", "first", "n", "part").mapInArrow(work, "id long, th int, first long, n long")
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
