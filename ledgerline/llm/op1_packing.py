@@ -19,43 +19,93 @@ from pyspark.sql import functions as F
 from ledgerline.llm._common import stored, texts
 
 #: Words of which a worker keeps the token ids; then it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+#: Token ids of words by vocabulary, kept by a worker from task to task.
+KNOWN: dict[str, dict[bytes, bytes]] = {}
 #: Parts in which the pieces of one length are numbered, so that a hot length is no single task.
 RANK_PARTS = 256
 
 
-def tokenised(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids_crc32) of each text's token ids and a final id 0, cut every capacity ids.
+class Words:
+    """Token ids of words, for vocabularies that drop white space, ignore case and mark the end of words with </w>.
 
-    Tokens never span white space in vocabularies whose pre-tokenizer drops it, so words are encoded once and remembered;
-    the ids equal those of encoding the whole text.
+    Tokens never span white space there, so the ids of a text are those of its words. Words of letters are encoded many at
+    a time, their ids told apart by the end marks; a word of letters and ASCII punctuation is put together from both.
     """
 
+    def __init__(self, vocabulary: str) -> None:
+        import regex
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_file(vocabulary)
+        ends = {i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")}
+        self.ends = np.array([i in ends for i in range(self.encoder.get_vocab_size())])
+        self.parts = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)")
+        self.known = KNOWN.setdefault(vocabulary, {})
+
+    def split(self, text: bytes) -> list[bytes]:
+        # case is dropped by the vocabulary anyway, but not in the names of special tokens
+        return (text if b"<|" in text else text.lower()).split()
+
+    def alone(self, words: list[bytes]) -> None:
+        for w, e in zip(words, self.encoder.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        letters, others, joined = set(), set(), []
+        for w in words:
+            if w in self.known:
+                continue
+            m = self.parts.fullmatch(w.decode())
+            if m is None:
+                others.add(w)
+            elif m[2]:
+                core, tail = m[1].encode(), m[2].encode()
+                joined.append((w, core, tail))
+                letters.add(core)
+                others.add(tail)
+            else:
+                letters.add(w)
+        todo = [w for w in letters if w not in self.known]
+        for i in range(0, len(todo), 500):
+            some = todo[i : i + 500]
+            ids = np.array(self.encoder.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):  # letters that case folding takes apart
+                self.alone(some)
+                continue
+            data = ids.tobytes()
+            for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                self.known[w] = data[4 * a : 4 * b]
+        self.alone([w for w in others if w not in self.known])
+        for w, core, tail in joined:
+            self.known[w] = self.known[core] + self.known[tail]
+
+    def ids(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.known.__getitem__, words))
+
+
+def tokenised(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
+    """Pieces (doc_id, piece, start, length, ids_crc32) of each text's token ids and a final id 0, cut every capacity ids."""
+
     def cut(batches: Iterator) -> Iterator:
         import zlib
 
         import pyarrow as pa
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(vocabulary)
-        known: dict[bytes, bytes] = {}
 
-        def learn(words: list[bytes]) -> None:
-            for w, e in zip(words, encoder.encode_batch([w.decode() for w in words], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        from ledgerline.llm.op1_packing import Words
 
+        words_of = Words(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             ids_of, todo = batch.column("doc_id").to_pylist(), texts(batch)
             for first in range(0, len(todo), 64):
-                words = [t.split() for t in todo[first : first + 64]]
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                new = list(set().union(*words).difference(known))
-                for i in range(0, len(new), 2000):
-                    learn(new[i : i + 2000])
+                words = [words_of.split(t) for t in todo[first : first + 64]]
+                words_of.learn(set().union(*words))
                 for doc, ws in zip(ids_of[first : first + 64], words, strict=True):
-                    ids = b"".join(map(known.__getitem__, ws)) + b"\0\0\0\0"
+                    ids = words_of.ids(ws) + b"\0\0\0\0"
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
