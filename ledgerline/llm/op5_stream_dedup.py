@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import shared_dir
+from ledgerline.llm._common import shared_dir, small_or_shuffled, stored
 
 _ROCKS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -64,8 +64,8 @@ def exact_duplicates(spark: SparkSession, path: str) -> DataFrame:
     state = fed(spark, path, folder).withColumnRenamed("place", "keep")
     hits = state.where("group_size > 1")
     rows = digested(table)
-    # on hits, bytes against bytes: the kept row's text is found by its locator
-    again = rows.join(hits, "digest")
+    # on hits, bytes against bytes: the kept row's text is found by its locator; only texts of hits are moved
+    again = stored(rows.join(small_or_shuffled(hits, 400), "digest"), "hits")
     held = again.where("place = keep").select("digest", F.col("text").alias("held"))
     checked = again.join(held, "digest").select("digest", "place", "keep", "group_size", F.expr("CASE WHEN text <> held THEN text END").alias("other"))
     equal = checked.where("other IS NULL")
