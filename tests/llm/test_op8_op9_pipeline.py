@@ -104,7 +104,7 @@ def test_licenses(spark):
 def test_license_lines_of_the_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = {(r.doc_id, r.pos) for r in licensed(docs).collect()}
-    planted = "Licensed under|Released under|This work is licensed"
+    planted = "Licensed under|Released under|This work is licensed|All rights reserved"
     want = {(r.doc_id, p) for r in docs.where(f"text RLIKE '{planted}'").collect() for p, x in enumerate(r.text.split("\n")) if any(x.startswith(s) for s in planted.split("|"))}
     assert want and got == want
 
