@@ -271,9 +271,9 @@ def _filtered(contracts: DataFrame, **wanted: str) -> DataFrame:
 _BY_STATE = f"SELECT recipient_state_code, count(*) AS n, round(sum({OBL}), 2) AS obligations FROM contracts"
 
 
-@query(f"{_BY_STATE} WHERE recipient_state_code IN ('FRANCE', 'JAPAN') AND action_date_fiscal_year IN ('1995') GROUP BY 1", "contracts")
+@query(f"{_BY_STATE} WHERE recipient_state_code IN ('NATION_6', 'NATION_12') AND action_date_fiscal_year IN ('1995') GROUP BY 1", "contracts")
 def b04_in_filter(contracts):
-    return _filtered(contracts, state="FRANCE||JAPAN", fiscal_year="1995|", extent_competed="|")
+    return _filtered(contracts, state="NATION_6||NATION_12", fiscal_year="1995|", extent_competed="|")
 
 
 @query(f"{_BY_STATE} WHERE {OBL} >= 1000 AND {OBL} <= 20000 AND TRY_CAST(naics_code AS DOUBLE) <= 20 GROUP BY 1", "contracts")
@@ -340,9 +340,9 @@ def b16_county_labels(spark, sf_dir):
     return rows.select(F.col("c").alias("county"), F.col("s").alias("state"), fields.county_label(F.col("c"), F.col("s")).alias("label"))
 
 
-@query(f"SELECT coalesce(nullif(awarding_agency_name, ''), '(unknown)') AS agency, coalesce(nullif(CASE WHEN recipient_state_code = 'FRANCE' THEN '' ELSE recipient_state_code END, ''), '(unknown)') AS state, round(coalesce(sum({OBL}), 0), 2) AS obligations FROM contracts GROUP BY ALL", "contracts")
+@query(f"SELECT coalesce(nullif(awarding_agency_name, ''), '(unknown)') AS agency, coalesce(nullif(CASE WHEN recipient_state_code = 'NATION_6' THEN '' ELSE recipient_state_code END, ''), '(unknown)') AS state, round(coalesce(sum({OBL}), 0), 2) AS obligations FROM contracts GROUP BY ALL", "contracts")
 def b17_unknown_labels(contracts):
-    state = F.when(F.col("recipient_state_code") == "FRANCE", "").otherwise(F.col("recipient_state_code"))
+    state = F.when(F.col("recipient_state_code") == "NATION_6", "").otherwise(F.col("recipient_state_code"))
     return contracts.groupBy(fields.or_unknown(F.col("awarding_agency_name")).alias("agency"), fields.or_unknown(state).alias("state")).agg(F.round(F.coalesce(F.sum(OBL), F.lit(0.0)), 2).alias("obligations"))
 
 
@@ -388,7 +388,7 @@ def b23_applies_to(dictionary):
 _AB = f"SELECT recipient_state_code AS g, round(sum(CASE WHEN {IN_A} THEN {OBL} END), 2) AS a, round(sum(CASE WHEN {IN_B} THEN {OBL} END), 2) AS b FROM contracts GROUP BY 1"
 
 
-@query(f"SELECT g, round(b - a, 2) AS delta, CASE WHEN a <> 0 THEN round((b - a) / a * 100, 1) END AS pct FROM ({_AB})", "contracts")
+@query(f"SELECT g, round(b - a, 2) AS delta, CASE WHEN a <> 0 THEN round((b - a) / a * 100, 1) + 0.0 END AS pct FROM ({_AB})", "contracts")
 def b24_change(contracts):
     sums = [F.round(F.sum(F.when(fields.period_mask(contracts, p), F.col(OBL))), 2).alias(n) for p, n in ((A, "a"), (B, "b"))]
     delta, pct = fields.change(F.col("a"), F.col("b"))
@@ -435,9 +435,9 @@ def b31_drop_helpers(contracts):
     return contracts.where("action_date_fiscal_year = '1995' AND extent_competed = 'R'").drop("recipient_zip_4_code", "transaction_number")
 
 
-@query("SELECT DISTINCT naics_description AS label FROM contracts WHERE contains(lower(naics_description), 'brass') ORDER BY 1 LIMIT 200", "contracts")
+@query("SELECT DISTINCT naics_description AS label FROM contracts WHERE contains(lower(naics_description), 'omo') ORDER BY 1 LIMIT 200", "contracts")
 def b32_typeahead(contracts):
-    return cubes.search(contracts.select(F.col("naics_description").alias("label")).distinct(), "label", "BRASS")
+    return cubes.search(contracts.select(F.col("naics_description").alias("label")).distinct(), "label", "OMO")
 
 
 @query("SELECT award_element, award_file, domain_values FROM dictionary WHERE award_element = 'column_7'", "dictionary")
@@ -482,9 +482,9 @@ def c06_table_many_metrics(contracts):
     return build_table(contracts, TableRequest(rows=("awarding_subagency", "state"), metrics=table.METRICS, top=500, round_to=2))
 
 
-@query(f"""SELECT *, round(obligations_b - obligations_a, 2) AS obligations_delta, CASE WHEN obligations_a <> 0 THEN round((obligations_b - obligations_a) / obligations_a * 100, 1) END AS obligations_pct,
-  transactions_b - transactions_a AS transactions_delta, CASE WHEN transactions_a <> 0 THEN round((transactions_b - transactions_a) / transactions_a * 100, 1) END AS transactions_pct,
-  vendors_b - vendors_a AS vendors_delta, CASE WHEN vendors_a <> 0 THEN round((vendors_b - vendors_a) / vendors_a * 100, 1) END AS vendors_pct
+@query(f"""SELECT *, round(obligations_b - obligations_a, 2) AS obligations_delta, CASE WHEN obligations_a <> 0 THEN round((obligations_b - obligations_a) / obligations_a * 100, 1) + 0.0 END AS obligations_pct,
+  transactions_b - transactions_a AS transactions_delta, CASE WHEN transactions_a <> 0 THEN round((transactions_b - transactions_a) / transactions_a * 100, 1) + 0.0 END AS transactions_pct,
+  vendors_b - vendors_a AS vendors_delta, CASE WHEN vendors_a <> 0 THEN round((vendors_b - vendors_a) / vendors_a * 100, 1) + 0.0 END AS vendors_pct
 FROM (SELECT recipient_state_code AS g0, round(sum(CASE WHEN {IN_A} THEN {OBL} END), 2) AS obligations_a, round(sum(CASE WHEN {IN_B} THEN {OBL} END), 2) AS obligations_b,
   CAST(sum(CASE WHEN {IN_A} THEN 1 ELSE 0 END) AS BIGINT) AS transactions_a, CAST(sum(CASE WHEN {IN_B} THEN 1 ELSE 0 END) AS BIGINT) AS transactions_b,
   count(DISTINCT CASE WHEN {IN_A} THEN {UEI} END) AS vendors_a, count(DISTINCT CASE WHEN {IN_B} THEN {UEI} END) AS vendors_b FROM contracts WHERE {IN_A} OR {IN_B} GROUP BY 1)""", "contracts")
