@@ -129,17 +129,17 @@ def test_lines_against_brute_force(spark, many, monkeypatch):
     assert got == want
 
 
-def test_simhash_counts_bits(spark):
+@pytest.mark.parametrize("times", [1, 18, 19, 60])
+def test_simhash_counts_bits(spark, times):
     import pyspark.sql.functions as f
 
-    words = ["alpha", "beta", "gamma", "delta", "alpha", "zeta", "eta"]
+    words = ["alpha", "beta", "gamma", "delta", "alpha", "zeta", "eta"] * times
     r = lines_op.nodes(lines_op.keyed_lines(spark.createDataFrame([(1, 0, " ".join(words))], "id long, th long, text string"))).first()
     h = [x.h & (2**64 - 1) for x in spark.createDataFrame([(w,) for w in words], "w string").select(f.xxhash64("w").alias("h")).collect()]
     want = 0
-    for k in range(lines_op.LANES):
-        for j in range(3):
-            if 2 * sum((x >> (k + j * lines_op.FIELD)) & 1 for x in h) > len(words):
-                want |= 1 << (k * 3 + j)
+    for k in range(lines_op.BITS):
+        if 2 * sum((x >> k) & 1 for x in h) > len(words):
+            want |= 1 << k
     assert r.sim == want
 
 
