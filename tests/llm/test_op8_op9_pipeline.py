@@ -44,7 +44,7 @@ def test_gender_and_script_of_names():
         new = surrogate(kind, value, KEY)
         assert [w[0].isupper() for w in new.split()] == [True, True]
         assert [ord(c) > 0x400 for c in new if c != " "] == [ord(c) > 0x400 for c in value if c != " "] or len(new) != len(value)
-    assert surrogate("person m", "Peter Meyer", KEY).split()[1] == surrogate("person m", "Meyer", KEY) or True
+    assert surrogate("person m", "Peter Meyer", KEY).split()[1] == surrogate("person m", "Meyer", KEY)
 
 
 def test_pseudonymised(spark):
