@@ -24,6 +24,8 @@ from ledgerline.llm._common import texts
 GRAM = 32
 #: Bytes of text hashed at a time, and bytes of a shard's suffix array.
 CHUNK, SHARD = 1 << 17, 1 << 19
+#: Low bits of a packed run that hold its number of windows, at most CHUNK.
+RUN_BITS = 18
 #: Stands for a null doc_id; before all others.
 NO_ID = -(1 << 63)
 
@@ -317,7 +319,7 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
             out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
             for text, gone in zip(texts(batch), batch.column("gone").to_pylist(), strict=True):
                 spans: list[list[int]] = []
-                for x in sorted((g["first"], g["n"]) for g in gone or ()):
+                for x in sorted((g >> RUN_BITS, g & ((1 << RUN_BITS) - 1)) for g in gone or ()):
                     end = x[0] + x[1] - 1 + length
                     if spans and x[0] <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], end)
@@ -357,5 +359,5 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     routed = _routed(rows.join(wanted, ["id", "th"]), length)
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     gone = _shards(routed.repartition(n, "least", "salt").sortWithinPartitions("least", "id", "th", "first"), length)
-    spans = gone.groupBy("id", "th").agg(F.collect_set(F.struct("first", "n")).alias("gone"))
+    spans = gone.groupBy("id", "th").agg(F.collect_set(F.shiftleft("first", RUN_BITS) + F.col("n")).alias("gone"))
     return _cut(rows.join(spans, ["id", "th"], "left").select("id", "text", "gone"), length)
