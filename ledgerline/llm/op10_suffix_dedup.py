@@ -210,7 +210,8 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
 def _routed(docs: DataFrame, length: int) -> DataFrame:
     """From rows (id, th, text, firsts): the listed runs with the bytes of their windows; within a batch, equal bytes once.
 
-    Runs whose bytes an earlier run of the batch has are repeats as a whole: they carry no bytes, and a salt.
+    Runs whose bytes an earlier run of the batch has are repeats as a whole: they carry no bytes, and a salt. The same run
+    of a row that repeats doc_id and text is no repeat and goes no further.
     """
 
     def route(batches: Iterator) -> Iterator:
@@ -225,12 +226,19 @@ def _routed(docs: DataFrame, length: int) -> DataFrame:
             doc, first, n, least = doc[sel], first[sel], n[sel], least[sel]
             by = np.lexsort((first, th[doc], ids[doc]))
             doc, first, n, least = doc[by], first[by], n[by], least[by]
-            seen: set[bytes] = set()
+            seen: dict[bytes, tuple[int, int, int]] = {}
             parts: list[bytes | None] = []
-            for d, f, m in zip(doc.tolist(), first.tolist(), n.tolist(), strict=True):
-                part = docs_[d][f : f + m + length - 1]
-                parts.append(None if part in seen else part)
-                seen.add(part)
+            own = np.ones(len(doc), bool)
+            for k, (d, f, m) in enumerate(zip(doc.tolist(), first.tolist(), n.tolist(), strict=True)):
+                part, run = docs_[d][f : f + m + length - 1], (ids[d], th[d], f)
+                if part not in seen:
+                    seen[part] = run
+                    parts.append(part)
+                elif seen[part] == run:  # the same run, of a row that repeats doc_id and text
+                    own[k] = False
+                else:
+                    parts.append(None)
+            doc, first, n, least = doc[own], first[own], n[own], least[own]
             salt = np.array([0 if p is not None else 1 + (k & 0xFF) for k, p in enumerate(parts)], np.int64)
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (least, salt, ids[doc], th[doc], first, n)), pa.array(parts, pa.binary())], ["least", "salt", "id", "th", "first", "n", "part"])
 
@@ -295,7 +303,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             for x in zip(*(batch.column(c).to_pylist() for c in ("least", "id", "th", "first", "n", "part")), strict=True):
-                if size >= SHARD and (x[0] != held[-1][0] or size >= 2 * SHARD):
+                # rows that repeat doc_id and text have the same runs; these stay in one shard
+                if size >= SHARD and (x[0] != held[-1][0] or size >= 2 * SHARD and x[1:4] != held[-1][1:4]):
                     out, earlier = solve(held, earlier, x[0] == held[-1][0])
                     yield told(out)
                     held, size = [], 0

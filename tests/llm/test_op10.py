@@ -106,3 +106,19 @@ def test_edge_cases(spark):
     assert len(got) == 5 and by[2] == [250] and by[1] == [250, 250] and by[5] == [0]
     assert by[None][0] < 250  # the null doc_id comes first; only its own repeats go
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("rows_a_batch,shard", [(10_000, 1 << 19), (1, 1 << 19), (1, 200)])
+def test_repeated_row_keeps_its_text(spark, rows_a_batch, shard, monkeypatch):
+    monkeypatch.setattr(op, "SHARD", shard)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        rng = random.Random(3)
+        one, null = words(rng, 60), words(rng, 60)
+        rows = [(1, one)] * 4 + [(None, null)] * 3 + [(2, words(rng, 60)), (3, one)]
+        got = without_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 9
+    for r in got:
+        assert r.n_removed == (len(one.encode()) if r.doc_id == 3 else 0)
