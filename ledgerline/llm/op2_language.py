@@ -2,6 +2,9 @@
 
 Features are hashed counts of 1 to 3 bytes over lower-cased letters, square-rooted and scaled to length 1. The SVMs are
 fitted in Spark tasks, one problem a task, on a bounded sample of labelled rows; every text is predicted as a whole.
+
+The SVMs only choose among the languages learned. Whether a text is in one of them at all is told by its mean log
+likelihood under each language's counts, against what labelled rows that are not fitted on reach.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ BITS, BLOCK = 12, 1 << 19
 #: Labelled rows of each language that are fitted on, by hash order.
 SAMPLE_PER_LANGUAGE = 400
 UNDETERMINED = "und"
+#: A text is unknown if its mean log likelihood is under each language's own by over `slack` * sqrt(1 / letters + 1 / SPREAD).
+#: slack is MARGIN times what all but SPARED of the labelled rows held out stay within, LEAST_SLACK at least.
+SPREAD, MARGIN, SPARED, LEAST_SLACK = 100, 2.0, 0.005, 5.0
 #: Language families by ISO 639-1 code; a language in none is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi",
@@ -62,6 +68,16 @@ def features(text: bytes) -> np.ndarray:
     return (x / max(np.linalg.norm(x), 1e-9)).astype(np.float32)
 
 
+def letters(text: bytes) -> int:
+    return len(b"".join(text.translate(_TABLE).split()))
+
+
+def deviation(text: bytes, x: np.ndarray, likely: np.ndarray, own: np.ndarray) -> float:
+    """How far the features x of text are under the language they fit best, as a multiple of what chance does to a text of its length."""
+    best = float((likely @ (x * x) - own).max())
+    return -best / np.sqrt(1 / max(1, letters(text)) + 1 / SPREAD)
+
+
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, passes: int = 30) -> np.ndarray:
     """Weights of a linear SVM (squared hinge loss, last weight the bias) by dual coordinate descent; y is 1 or -1."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
@@ -110,7 +126,39 @@ def fitted(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict
         table = labelled.sparkSession.createDataFrame(problems, "problem string, lang string, y int")
         done = points.join(F.broadcast(table), "lang").select("problem", "y", "x").groupBy("problem").applyInPandas(fit, "problem string, w binary")
         weights = {r.problem: np.frombuffer(r.w, np.float32) for r in done.collect()}
-    return {"groups": groups, "weights": weights}
+    return {"groups": groups, "weights": weights, "points": points}
+
+
+def calibrated(model: dict, labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
+    """The model with `likely` (a row of log likelihoods a language), `own` (what a language's texts reach) and slack.
+
+    labelled: rows (doc_id, text, lang) of the languages learned that the model was not fitted on.
+    """
+
+    def counted(rows: pd.DataFrame) -> pd.DataFrame:
+        share = np.mean([np.frombuffer(v, np.float32).astype(np.float64) ** 2 for v in rows["x"]], axis=0) + 1e-6
+        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "share": [(share / share.sum()).tobytes()]})
+
+    if not model["groups"]:
+        return model
+    # one row of 2 ** BITS numbers a language
+    shares = np.stack([np.frombuffer(r.share) for r in sorted(model["points"].groupBy("lang").applyInPandas(counted, "lang string, share binary").collect())])
+    likely = np.log(shares)
+    own = (likely * shares).sum(1)
+    langs = [lang for group in model["groups"].values() for lang in group]
+    usable = labelled.where(F.col("lang").isin(langs) & F.expr("text RLIKE '\\\\p{L}'"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id").distinct()
+    sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi")
+
+    def deviations(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([float(deviation(t, features(t), likely, own)) for t in texts(batch)], pa.float64())], ["far"])
+
+    far = sample.select("text").mapInArrow(deviations, "far double").selectExpr(f"percentile(far, {1 - SPARED}) far").first().far
+    return model | {"likely": likely, "own": own, "slack": max(LEAST_SLACK, MARGIN * (far or 0.0))}
 
 
 def _chance(margin: float) -> float:
@@ -118,8 +166,12 @@ def _chance(margin: float) -> float:
 
 
 def predicted(docs: DataFrame, model: dict, carried: list[str]) -> DataFrame:
-    """The carried columns of docs (text and others), with lang_pred and score of each text."""
+    """The carried columns of docs (text and others), with lang_pred and score of each text.
+
+    With a calibrated model, texts in none of its languages are undetermined.
+    """
     groups, weights = model["groups"], model["weights"]
+    model = {k: model[k] for k in ("likely", "own", "slack") if k in model}
     families, problems = list(groups), list(weights)
 
     def predict(batches: Iterator) -> Iterator:
@@ -132,7 +184,10 @@ def predicted(docs: DataFrame, model: dict, carried: list[str]) -> DataFrame:
         def one(text: bytes) -> tuple[str, float]:
             if not groups or not letter.search(text.decode("utf-8", "replace")):
                 return UNDETERMINED, 0.0
-            margins = dict(zip(problems, w[:, :-1] @ features(text) + w[:, -1], strict=True))
+            x = features(text)
+            if "slack" in model and deviation(text, x, model["likely"], model["own"]) > model["slack"]:
+                return UNDETERMINED, 0.0
+            margins = dict(zip(problems, w[:, :-1] @ x + w[:, -1], strict=True))
             best, score = families[0], 1.0
             if len(families) > 1:
                 best = max(families, key=lambda f: margins[f"family {f}"])
@@ -174,9 +229,14 @@ def identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Data
 def in_known_language(docs: DataFrame, least: float = 0.25, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """The rows of docs (doc_id, text, lang and any others but lang_pred and score) whose language is determined.
 
-    Rejected are texts that are 'und' or whose score is under `least`; the rest stay with all their columns.
+    Rejected are texts that are 'und' or whose score is under `least`; the rest stay with all their columns. 'und' are
+    texts without a letter, and those that no learned language explains as well as it does its own labelled rows that
+    are held out (or its fitted ones, if none is).
     """
     docs = docs.drop("lang_pred", "score")
     known = docs.where(f"NOT ({HELD_OUT})").select("doc_id", "text", "lang")
-    rows = predicted(docs, fitted(known, per_language), docs.columns)
+    held = docs.where(HELD_OUT).select("doc_id", "text", "lang")
+    if not held.where("lang IS NOT NULL").head(1):
+        held = known
+    rows = predicted(docs, calibrated(fitted(known, per_language), held, per_language), docs.columns)
     return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)

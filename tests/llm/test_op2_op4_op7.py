@@ -41,6 +41,24 @@ def test_language_edge_cases(spark):
     assert kept.columns == ["doc_id", "text", "lang"] and kept.count() == 43
 
 
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    foreign = [
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem",
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki ja omatunto",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        "QmFzZTY0IGlzIG5vdCBhIGxhbmd1YWdlLCBpdCBpcyBhbiBlbmNvZGluZyBvZiBieXRlcyBpbiA2NCBsZXR0ZXJz" * 4,
+        "for (int i = 0; i < n; ++i) { buf[i] = tmp[i]; printf(fmt, idx, ptr); } return ctx->err; " * 3,
+    ]
+    short = ["the dog and the cat", "the anly and thon", "der und die ein", "les des une ou", "de la que en"]
+    rows = [(10_000_000 + i, t, None) for i, t in enumerate(foreign)] + [(20_000_000 + i, t, None) for i, t in enumerate(short)]
+    kept = {r.doc_id for r in in_known_language(docs.union(spark.createDataFrame(rows, docs.schema))).collect()}
+    assert not kept & {10_000_000 + i for i in range(len(foreign))}
+    assert kept >= {20_000_000 + i for i in range(len(short))}
+    with_letters = {r.doc_id for r in docs.where("text RLIKE '\\\\p{L}'").collect()}
+    assert len(kept & with_letters) >= 0.995 * len(with_letters)
+
+
 def test_families_and_features():
     assert family("en") == family("de-AT") == "germanic" and family("fr") == family("es") == "romance" and family("xx") == "only xx"
     assert np.linalg.norm(features(b"")) <= 1 and np.linalg.norm(features("é".encode())) == pytest.approx(1)
