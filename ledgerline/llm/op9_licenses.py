@@ -2,9 +2,10 @@
 
 The model is small: its n-grams are those of the license templates, its weights a table of n-gram, family and weight. It
 is fitted on the driver from the templates, cut and varied, and from a bounded sample of the corpus' own paragraphs as
-the unknown class; Spark scores all paragraphs by joining their hashed n-grams with the table. A paragraph is taken
-for a family if its calibrated probability is at least MIN_CHANCE and the words it shares with a template of that family
-are at least MIN_COMMON of the paragraph's.
+the unknown class; Spark scores all paragraphs, and windows of the longer ones, by joining their hashed n-grams
+with the table. A paragraph is taken for a family if its calibrated probability, or that of a window, is at least
+MIN_CHANCE and a template of that family confirms it: the words shared are at least MIN_COMMON of the paragraph's, or the
+trigrams shared are at least MIN_COMMON of the window's or of the template's.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 #: Paragraphs of the corpus, by hash order, that the unknown class is fitted on.
 SAMPLE_PARAGRAPHS = 1500
 MIN_CHANCE, MIN_COMMON, UNKNOWN = 0.5, 0.6, "unknown"
+#: Words of the windows of a paragraph; each overlaps the next one by half. A notice of up to half a window is whole in one.
+WINDOWS = (12, 48)
 #: Names and customary notices of license families.
 TEMPLATES: dict[str, list[str]] = {
     "apache": [
@@ -33,27 +36,38 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
         "SPDX-License-Identifier: LGPL-2.1-only",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
         "Released under the BSD 3-Clause License.",
         "Licensed under the 2-Clause BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ],
@@ -91,7 +105,7 @@ def grams(words: list[str]) -> set[str]:
 def fitted(unknown: list[str], seed: int = 5) -> list[tuple[str, str, float]]:
     """Rows (n-gram, family, weight) of a multinomial logistic regression; the n-gram '' is the bias, scaled by the temperature.
 
-    Each template is taken whole, cut, and with words dropped or added. A part is held out, on which a temperature is
+    Each template is taken whole, cut, by sentences and windows, and with words dropped or added. A part is held out, on which a temperature is
     fitted that makes the probabilities true, the unknown class included.
     """
     rng = random.Random(seed)
@@ -107,6 +121,12 @@ def fitted(unknown: list[str], seed: int = 5) -> list[tuple[str, str, float]]:
                 if i % 4 == 3:
                     w += [rng.choice(["copyright", "c", "2019", "2023", "by", "the", "authors"]) for _ in range(3)]
                 data.append((grams(w), labels.index(family)))
+            sentences = [tokens(x) for x in re.split(r"(?<=[.;])\s+", line)]
+            if len(sentences) > 1:
+                data += [(grams(x), labels.index(family)) for x in sentences if len(x) > 2 for _ in range(6)]
+            for _ in range(8 if len(words) > min(WINDOWS) else 0):
+                at, size = rng.randrange(len(words) - min(WINDOWS) + 1), rng.choice(WINDOWS)
+                data.append((grams(words[at : at + size]), labels.index(family)))
     common = [tokens(line) for lines in TEMPLATES.values() for line in lines]
     pool = [w for ws in common for w in ws]
     for text in unknown:
@@ -154,8 +174,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 def licensed(docs: DataFrame) -> DataFrame:
     """One row per paragraph of docs (doc_id, text) that names a license: doc_id, pos, family, score, common.
 
-    pos is the line's number from 0, score its calibrated probability, common the share of its words in the closest
-    template of the family. Defined results: null and empty texts have no rows; rows that repeat doc_id and text count
+    pos is the line's number from 0, score the calibrated probability of it or of its likeliest confirmed window, common
+    the share of words, or of a window's trigrams, in common with the closest template of the family. Defined results: null and empty texts have no rows; rows that repeat doc_id and text count
     once; an empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
@@ -182,20 +202,35 @@ def licensed(docs: DataFrame) -> DataFrame:
     hint = spark.createDataFrame([(g,) for g in pairs if len(set(g.split()) - {"the", "of", "and", "to", "in", "is", "a", "or", "for", "be", "at", "as", "by", "on", "with", "this", "that"}) > 0], "pair string")
     hinted = hinted.join(F.broadcast(hint), "pair", "left_semi").select("doc_id", "th", "pos", "words").distinct()
 
+    # a window of a paragraph has its number, the whole paragraph 0
+
+    def windows(size: int) -> F.Column:
+        starts = F.sequence(F.lit(0), F.greatest(n - size // 2 - 1, F.lit(0)), F.lit(size // 2))
+        cut = F.transform(starts, lambda i: F.struct((i * 100 + size).cast("int").alias("part"), F.slice("words", i + 1, size).alias("w")))
+        return F.filter(cut, lambda x: n > size)
+
+    wide = F.concat(F.array(F.struct(F.lit(0).alias("part"), F.col("words").alias("w"))), *[windows(size) for size in WINDOWS])
+    hinted = hinted.select("doc_id", "th", "pos", F.explode(wide).alias("x")).select("doc_id", "th", "pos", "x.part", F.col("x.w").alias("words"))
+
     def ngrams(size: int) -> F.Column:
         span = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(span, lambda i: F.concat_ws(" ", *[F.element_at("words", i + k) for k in range(size)]))
 
-    each = hinted.select("doc_id", "th", "pos", "words", F.explode(F.array_distinct(F.concat(ngrams(1), ngrams(2), ngrams(3)))).alias("gram"))
+    each = hinted.select("doc_id", "th", "pos", "part", "words", F.explode(F.array_distinct(F.concat(ngrams(1), ngrams(2), ngrams(3)))).alias("gram"))
     hits = each.withColumn("g", F.xxhash64("gram")).join(F.broadcast(model), "g")
-    sums = hits.groupBy("doc_id", "th", "pos", "words").agg(F.count("*").alias("hits"), *[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(labels))])
+    sums = hits.groupBy("doc_id", "th", "pos", "part", "words").agg(F.count("*").alias("hits"), *[F.sum(f"w{i}").alias(f"s{i}") for i in range(len(labels))])
     logits = [F.col(f"s{i}") / F.sqrt("hits") + F.lit(bias[f]) for i, f in enumerate(labels)]
-    scored = sums.select("doc_id", "th", "pos", "words", F.array(*logits).alias("z")).withColumn("top", F.array_max("z"))
+    scored = sums.select("doc_id", "th", "pos", "part", "words", F.array(*logits).alias("z")).withColumn("top", F.array_max("z"))
     chance = 1 / F.aggregate("z", F.lit(0.0), lambda total, z: total + F.exp(z - F.col("top")))
     family = F.element_at(F.array(*[F.lit(f) for f in labels]), F.array_position("z", F.col("top")).cast("int"))
-    taken = scored.select("doc_id", "th", "pos", "words", family.alias("family"), chance.alias("score")).where((F.col("family") != UNKNOWN) & (F.col("score") >= MIN_CHANCE))
-    known = spark.createDataFrame([(f, sorted(set(tokens(line)))) for f, ls in sorted(TEMPLATES.items()) for line in ls], "family string, template array<string>")
-    both = taken.select("doc_id", "th", "pos", F.array_distinct("words").alias("words"), "family", "score").join(F.broadcast(known), "family")
-    common = both.withColumn("common", F.size(F.array_intersect("words", "template")) / F.size("words"))
-    out = common.groupBy("doc_id", "th", "pos", "family", "score").agg(F.max("common").alias("common")).where(F.col("common") >= MIN_COMMON)
-    return out.select("doc_id", "pos", "family", "score", "common")
+    taken = scored.select("doc_id", "th", "pos", "part", "words", family.alias("family"), chance.alias("score")).where((F.col("family") != UNKNOWN) & (F.col("score") >= MIN_CHANCE))
+    threes = lambda line: sorted(g for g in grams(tokens(line)) if g.count(" ") == 2)
+    known = spark.createDataFrame([(f, sorted(set(tokens(line))), threes(line)) for f, ls in sorted(TEMPLATES.items()) for line in ls], "family string, template array<string>, three array<string>")
+    taken = taken.withColumn("own", F.array_distinct(ngrams(3))).withColumn("words", F.array_distinct("words"))
+    both = taken.join(F.broadcast(known), "family")
+    shared = F.size(F.array_intersect("own", "three"))
+    inside = F.when(F.size("three") > 0, shared / F.greatest(F.least(F.size("three"), F.size("own")), F.lit(1))).otherwise(0.0)
+    alike = F.when(F.col("part") == 0, F.size(F.array_intersect("words", "template")) / F.size("words")).otherwise(0.0)
+    confirmed = both.withColumn("common", F.greatest(alike, inside)).where(F.col("common") >= MIN_COMMON)
+    best = F.max(F.struct("score", "common", "family")).alias("best")
+    return confirmed.groupBy("doc_id", "th", "pos").agg(best).select("doc_id", "pos", "best.family", "best.score", "best.common")

@@ -101,6 +101,18 @@ def test_licenses(spark):
     assert licensed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_whole_notices_and_notices_inside_paragraphs(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+    as_is = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    warranty = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ahead, behind = "Our small team wrote these notes during a long winter near the sea.", "Readers who find mistakes should send letters to the editor every spring."
+    want = [(mit, "mit"), (as_is, "mit"), (warranty, "gpl")]
+    want += [(f"{ahead} {x} {behind}", f) for x, f in [("Licensed under the MIT License.", "mit"), ("Released under the BSD 3-Clause License.", "bsd"), (mit, "mit"), (warranty, "gpl")]]
+    rows = [(i, t) for i, (t, _) in enumerate(want)] + [(100, f"{ahead} {behind}"), (101, f"{ahead} The club drew up a license for the public garden and the use of its free tools. {behind}")]
+    got = {r.doc_id: r.family for r in licensed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: f for i, (_, f) in enumerate(want)}
+
+
 def test_license_lines_of_the_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = {(r.doc_id, r.pos) for r in licensed(docs).collect()}
