@@ -100,51 +100,65 @@ def line_corpus():
     return docs + [(500, None), (501, ""), (502, "\n\n")]
 
 
-def brute_lines(spark, docs):
-    sims = lines_op.nodes(lines_op.keyed_lines(spark.createDataFrame([(i, 0, t) for i, t in docs], "id long, th long, text string"))).collect()
-    node = {(r.id, r.pos): (r.a, r.b) for r in sims}
-    sim = {(r.a, r.b): r.sim for r in sims}
-    text = {node[i, p]: " ".join(words_of(x)) for i, t in docs if t for p, x in enumerate(t.split("\n")) if (i, p) in node}
-    root = {n: n for n in text}
+def brute_groups(docs):
+    """Normalised lines with words, in order of their places, and the root of each under all links of edit similarity alone."""
+    places = {}
+    for i, t in sorted((i, t) for i, t in docs if t):
+        for p, x in enumerate(t.split("\n")):
+            if (w := words_of(x)) != [""]:
+                places.setdefault(tuple(w), []).append((i, p))
+    root = {n: n for n in places}
 
     def find(n):
         while root[n] != n:
             n = root[n]
         return n
 
-    ns = list(text)
+    ns = list(places)
+    pairs = []
     for k, a in enumerate(ns):
         for b in ns[:k]:
-            if sim[a] is not None and sim[b] is not None and (sim[a] ^ sim[b]).bit_count() <= lines_op.DISTANCE:
-                longest = max(len(text[a]), len(text[b]))
-                if edit(text[a], text[b]) <= int(longest * (1 - lines_op.SIMILARITY) + 1e-9):
-                    root[find(a)] = find(b)
-    seen, out = set(), {}
-    for i, t in sorted(docs):
-        if t is None:
-            out[i] = (None, 0, 0)
-            continue
-        kept, ls = [], t.split("\n")
-        for p, x in enumerate(ls):
-            if (i, p) in node:
-                g = find(node[i, p])
-                if g in seen:
-                    continue
-                seen.add(g)
-            kept.append(x)
-        out[i] = ("\n".join(kept), len(ls), len(ls) - len(kept))
-    links = len(ns) - len({find(n) for n in ns})
-    return out, links
-
-
-@pytest.mark.parametrize("many", [lines_op.MANY_NODES, 0])
-def test_lines_against_brute_force(spark, many, monkeypatch):
-    monkeypatch.setattr(lines_op, "MANY_NODES", many)
+            longest = max(len(a), len(b))
+            if min(len(a), len(b)) >= lines_op.MIN_WORDS and edit(a, b) <= int(longest * (1 - lines_op.SIMILARITY) + 1e-9):
+                pairs.append((a, b))
+                root[find(a)] = find(b)
+    return places, find, pairs
+
+
+def test_lines_against_brute_force(spark):
     docs = line_corpus()
-    want, links = brute_lines(spark, docs)
-    assert links > 10
-    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
-    assert got == want
+    places, find, pairs = brute_groups(docs)
+    assert len(pairs) > 100
+    first = {}
+    for n, at in places.items():
+        first[find(n)] = min(first.get(find(n), at[0]), min(at))
+    want = dict.fromkeys((i for i, _ in docs), 0)
+    for ats in places.values():
+        for at in ats:
+            want[at[0]] += at not in first.values()
+    got = {r.doc_id: r for r in deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    assert len(got) == len(docs) and tuple(got[500])[1:] == (None, 0, 0)
+    for i, t in docs:
+        assert got[i].n_dropped <= want[i]  # a line that is dropped has a link
+        if t:
+            lines = iter(t.split("\n"))  # the lines kept are lines of the text, in order
+            assert got[i].n_lines == len(t.split("\n")) and (not got[i].text or all(x in lines for x in got[i].text.split("\n")))
+    assert sum(r.n_dropped for r in got.values()) >= 0.95 * sum(want.values())
+
+
+def test_lines_recall_on_the_table(spark):
+    """Of pairs of lines of edit similarity 0.8 or more, in words, at least 0.9 are in one group."""
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    rng = random.Random(4)
+    lines = [x for _, t in docs if t for x in t.split("\n") if len(x.split()) >= 5]
+    more = []
+    for i, x in enumerate(rng.sample(lines, 150)):  # copies with up to a fifth of the words changed
+        w = x.split()
+        for k in rng.sample(range(len(w)), rng.randint(1, max(1, len(w) // 5))):
+            w[k] = rng.choice(["changed", w[k][::-1] + "x", w[k] + "s"])
+        more.append((10_000 + i, " ".join(w)))
+    out = {r.doc_id: r.n_dropped for r in deduplicated(spark.createDataFrame(docs + more, "doc_id long, text string")).where("doc_id >= 10000").collect()}
+    assert sum(out.values()) >= 0.9 * len(more)
 
 
 @pytest.mark.parametrize("times", [1, 18, 19, 60])
@@ -152,8 +166,9 @@ def test_simhash_counts_bits(spark, times):
     import pyspark.sql.functions as f
 
     words = ["alpha", "beta", "gamma", "delta", "alpha", "zeta", "eta"] * times
-    r = lines_op.nodes(lines_op.keyed_lines(spark.createDataFrame([(1, 0, " ".join(words))], "id long, th long, text string"))).first()
-    h = [x.h & (2**64 - 1) for x in spark.createDataFrame([(w,) for w in words], "w string").select(f.xxhash64("w").alias("h")).collect()]
+    row = spark.createDataFrame([(1, 2, words)], "a long, b long, w array<string>").select("a", "b", f.transform("w", lambda x: f.xxhash64(x)).alias("h"))
+    r = lines_op.simhashes(row).first()
+    h = [x & (2**64 - 1) for x in r.h]
     want = 0
     for k in range(lines_op.BITS):
         if 2 * sum((x >> k) & 1 for x in h) > len(words):
@@ -161,6 +176,14 @@ def test_simhash_counts_bits(spark, times):
     assert r.sim == want
 
 
+def test_lines_names_may_clash(spark):
+    rows = [(1, "a line of seven words is here\nx", 5, "g", "t", None), (2, "a line of seven words is there", 6, "h", "u", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id int, gone string, th string, `n.dots` int")
+    got = deduplicated(df)
+    assert got.columns == [*df.columns, "n_lines", "n_dropped"]
+    assert sorted(map(tuple, got.collect())) == [(*rows[0], 2, 0), (2, "", *rows[1][2:], 1, 1)]
+
+
 def test_lines_edge_cases(spark):
     rows = [(1, "same line here\nx", "s"), (1, "same line here\nx", "t"), (2, "Same line, here!", "u"), (None, "x\n\n", "v"), (3, "one", "w"), (3, "two\none", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_lines string")
