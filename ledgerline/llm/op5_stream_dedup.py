@@ -1,8 +1,8 @@
 """Exact duplicates by a stateful stream: state per digest on disk, without expiry, bytes checked on hits.
 
 The table is read as a file stream. RocksDB state keeps, for each digest, the largest (stable identifier, content locator)
-and the number of rows; it never expires, so the same checkpoint could take up new files later. Rows whose digest has more
-than one row are hits: their bytes are compared with those that the kept locator names.
+and the number of rows; it never expires, so the same folder takes up new files later. Rows whose digest has more than one
+row are hits: they are grouped by digest and text, which compares whole bytes and leaves one text a task and group to move.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ _ROCKS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # no space is set aside: with many partitions that is more than the state
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 _LOCATOR = "named_struct('doc_id', CAST(doc_id AS BIGINT), 'file', _metadata.file_path, 'row', _metadata.row_index)"
@@ -29,7 +31,8 @@ def digested(rows: DataFrame) -> DataFrame:
 
 
 def fed(spark: SparkSession, path: str, folder: str) -> DataFrame:
-    """Run the stream over all files at path; rows (digest, place, group_size), the last state of each digest."""
+    """Run the stream over the files at path that folder has not seen; rows (digest, place, group_size), the last state of each digest."""
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
     before = {k: spark.conf.get(k, None) for k in _ROCKS}
     for k, v in _ROCKS.items():
@@ -49,30 +52,30 @@ def fed(spark: SparkSession, path: str, folder: str) -> DataFrame:
     return changes.groupBy("digest").agg(F.max_by("place", "batch").alias("place"), F.max("group_size").alias("group_size"))
 
 
-def exact_duplicates(spark: SparkSession, path: str) -> DataFrame:
+def exact_duplicates(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
     """One row per row of the Parquet table at path (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
+    folder, in storage that all executors share, holds the state; with the folder of an earlier call only new files go
+    through the stream. Without one, a new folder is taken.
     Texts are equal if their bytes are; null counts as empty. Of equal texts the row with the largest doc_id is kept.
     Defined results: of rows that repeat doc_id and text, the one with the greatest locator is kept; null doc_ids come
     before all others; an empty table gives an empty result; other columns are not read. Texts of one digest and other
-    bytes than the kept row's form groups of their own by their bytes.
+    bytes form groups of their own by their bytes.
     """
-    folder = f"{shared_dir(spark)}/op5-{uuid.uuid4().hex}"
+    folder = folder or f"{shared_dir(spark)}/op5-{uuid.uuid4().hex}"
     table = spark.read.parquet(path)
     if not table.limit(1).count():
         return table.selectExpr("CAST(doc_id AS BIGINT) doc_id", "CAST(doc_id AS BIGINT) keep_id", "1L group_size", "true kept", "sha2('', 256) text_sha256")
     state = fed(spark, path, folder).withColumnRenamed("place", "keep")
-    hits = state.where("group_size > 1")
     rows = digested(table)
-    # on hits, bytes against bytes: the kept row's text is found by its locator; only texts of hits are moved
-    again = stored(rows.join(small_or_shuffled(hits, 400), "digest"), "hits")
-    held = again.where("place = keep").select("digest", F.col("text").alias("held"))
-    checked = again.join(held, "digest").select("digest", "place", "keep", "group_size", F.expr("CASE WHEN text <> held THEN text END").alias("other"))
-    equal = checked.where("other IS NULL")
-    odd = checked.where("other IS NOT NULL")
-    odd = odd.join(odd.groupBy("digest", "other").agg(F.max("place").alias("k"), F.count("*").alias("n")), ["digest", "other"])
-    strays = odd.groupBy("digest").agg(F.count("*").alias("strays"))
-    equal = equal.join(strays, "digest", "left").selectExpr("digest", "place", "keep", "group_size - coalesce(strays, 0) group_size")
-    single = rows.select("digest", "place").join(state.where("group_size = 1"), "digest").select("digest", "place", "keep", "group_size")
-    out = single.union(equal).union(odd.select("digest", "place", "k", "n"))
+    hits = rows.join(small_or_shuffled(state.where("group_size > 1").select("digest"), 100), "digest", "left_semi")
+    # bytes against bytes: equal rows of a task become one before they move; a digest with several texts is odd
+    odd = hits.groupBy("digest", "text").agg(F.count("*").alias("n")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    odd = stored(odd, "odd-digests")
+    out = rows.select("digest", "place").join(state, "digest").select("digest", "place", "keep", "group_size")
+    if odd.limit(1).count():
+        strays = rows.join(odd, "digest")
+        groups = strays.groupBy("digest", "text").agg(F.max("place").alias("keep"), F.count("*").alias("group_size"))
+        strays = strays.join(groups, ["digest", "text"]).select("digest", "place", "keep", "group_size")
+        out = out.join(odd, "digest", "left_anti").union(strays)
     return out.selectExpr("place.doc_id doc_id", "keep.doc_id keep_id", "group_size", "place = keep kept", "digest text_sha256")

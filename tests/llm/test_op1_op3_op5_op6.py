@@ -9,6 +9,7 @@ import pytest
 from ledgerline.llm import queries
 from ledgerline.llm.op1_packing import packed, ranked, solved
 from ledgerline.llm.op3_minhash import near_duplicates, registers
+from ledgerline.llm import op5_stream_dedup as op5
 from ledgerline.llm.op5_stream_dedup import exact_duplicates
 from ledgerline.llm.op6_mixing import mixed
 
@@ -217,6 +218,29 @@ def test_exact_duplicates_edge_cases(spark, tmp_path):
     assert exact_duplicates(spark, f"{tmp_path}/e.parquet").count() == 0
 
 
+def test_exact_duplicates_state_goes_on(spark, tmp_path):
+    long = "very long " * 200_000
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, long)], "doc_id long, text string").coalesce(1)
+    first.write.parquet(f"{tmp_path}/d.parquet")
+    got = exact_duplicates(spark, f"{tmp_path}/d.parquet/", f"{tmp_path}/state")
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got.collect()) == [(1, 1, 1), (2, 2, 1), (3, 3, 1)]
+    spark.createDataFrame([(7, "a"), (8, "c"), (9, long)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d.parquet")
+    got = exact_duplicates(spark, f"{tmp_path}/d.parquet", f"{tmp_path}/state")
+    want = [(1, 7, 2), (2, 2, 1), (3, 9, 2), (7, 7, 2), (8, 8, 1), (9, 9, 2)]
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got.collect()) == want
+    batches = [spark.read.parquet(f"{tmp_path}/state/changes/batch={n}").agg({"group_size": "sum"}).first()[0] for n in (0, 1)]
+    assert batches == [3, 5]  # the second batch read the new file only: two groups of two and one new row
+
+
+def test_exact_duplicates_of_one_digest_and_other_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(op5, "digested", lambda rows: rows.selectExpr("substr(sha2(text, 256), 1, 1) digest", f"{op5._LOCATOR} place", "text"))
+    rows = [(i, f"text {i % 50}") for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d.parquet")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_duplicates(spark, f"{tmp_path}/d.parquet").collect()}
+    last = {t: max(i for i, x in rows if x == t) for _, t in rows}
+    assert got == {i: (last[t], sum(x == t for _, x in rows), last[t] == i) for i, t in rows}
+
+
 # --- mixing
 
 
