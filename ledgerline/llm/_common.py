@@ -39,6 +39,17 @@ def small_or_shuffled(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def set_aside(docs: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns of these names (in any case) under new ones, and the way back for withColumnsRenamed."""
+    taken, back = {c.lower() for c in docs.columns} | names, {}
+    for c in docs.columns:
+        if c.lower() in names:
+            new = next(n for i in range(len(taken) + 1) if (n := f"own_{i}_{c}").lower() not in taken)
+            taken.add(new.lower())
+            back[new] = c
+    return docs.withColumnsRenamed({c: new for new, c in back.items()}), back
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), component the smallest node reachable.
 

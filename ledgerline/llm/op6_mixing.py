@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm._common import set_aside
+
 #: Hexadecimal digits of the key that name a range: 4,096 ranges a source.
 RANGE_DIGITS = 3
 WORDS = r"[^\\x20\\x09-\\x0D]+"
@@ -49,7 +51,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     are one source, the last; rows that repeat a doc_id follow one another in the order; an empty table gives an empty
     result; columns of the new names are replaced.
     """
-    docs = docs.drop("size", "source_size", "target", "taken")
+    docs, back = set_aside(docs.drop("size", "source_size", "target", "taken"), {"_key", "_range", "_none", "_source", "_own", "_ahead"})
     rows = docs.withColumn("size", word_count())
     rows = rows.withColumn("_key", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
     rows = rows.withColumn("_range", F.substring("_key", 1, RANGE_DIGITS)).withColumn("_none", F.col("source").isNull()).withColumn("_source", F.coalesce("source", F.lit("")))
@@ -64,4 +66,4 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     budget = "CAST(round(target) AS BIGINT)"
     passes = f"CASE WHEN source_size > 0 THEN {budget} div source_size ELSE 0L END"
     cut = f"greatest(0L, least(size, {budget} - ({passes}) * source_size - _ahead - _own))"
-    return placed.withColumn("taken", F.expr(f"({passes}) * size + {cut}")).drop("_key", "_range", "_none", "_source", "_own", "_ahead")
+    return placed.withColumn("taken", F.expr(f"({passes}) * size + {cut}")).drop("_key", "_range", "_none", "_source", "_own", "_ahead").withColumnsRenamed(back)
