@@ -22,6 +22,8 @@ from ledgerline.llm._common import stored, texts
 BITS, BLOCK = 12, 1 << 19
 #: Labelled rows of each language that are fitted on, by hash order.
 SAMPLE_PER_LANGUAGE = 400
+#: How many times the sample is let through to be sorted, and the range of hashes.
+OVERSAMPLED, HASHES = 4, 1 << 40
 UNDETERMINED = "und"
 #: A text is unknown if its mean log likelihood is under each language's own by over `slack` * sqrt(1 / letters + 1 / SPREAD).
 #: slack is MARGIN times what all but SPARED of the labelled rows held out stay within, LEAST_SLACK at least.
@@ -94,11 +96,24 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, passes: int = 30) -> n
     return w
 
 
+def chosen_rows(usable: DataFrame, per_language: int) -> DataFrame:
+    """Rows (doc_id) of the per_language least by hash of each lang of usable (doc_id, lang).
+
+    Languages are counted first, and only rows under a bound on the hash that lets about OVERSAMPLED times as many through
+    are sorted, so that no task gets more rows of a language as the table grows.
+    """
+    hashed = usable.withColumn("h", F.expr(f"pmod(xxhash64(doc_id), {HASHES}L)"))
+    # one row a language: as few as the model has
+    bounds = usable.groupBy("lang").agg(F.count("*").alias("rows")).withColumn("bound", F.expr(f"{HASHES}D * least(1D, {OVERSAMPLED * per_language}D / rows)"))
+    near = hashed.join(F.broadcast(bounds.select("lang", "bound")), "lang").where("h <= bound")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    return near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id").distinct()
+
+
 def fitted(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
     """Model of rows (doc_id, text, lang): weights of each family against the others and of each pair within a family."""
     usable = labelled.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id").distinct()
+    chosen = chosen_rows(usable.select("doc_id", "lang"), per_language)
     # at most per_language ids a language: small by that bound
     sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi")
 
@@ -147,8 +162,7 @@ def calibrated(model: dict, labelled: DataFrame, per_language: int = SAMPLE_PER_
     own = (likely * shares).sum(1)
     langs = [lang for group in model["groups"].values() for lang in group]
     usable = labelled.where(F.col("lang").isin(langs) & F.expr("text RLIKE '\\\\p{L}'"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).select("doc_id").distinct()
+    chosen = chosen_rows(usable.select("doc_id", "lang"), per_language)
     sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi")
 
     def deviations(batches: Iterator) -> Iterator:
