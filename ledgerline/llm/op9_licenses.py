@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Paragraphs of the corpus, by hash order, that the unknown class is fitted on.
 SAMPLE_PARAGRAPHS = 1500
+#: How many times the sample is let through to be sorted, and the range of hashes.
+OVERSAMPLED, HASHES = 8, 1 << 40
 MIN_CHANCE, MIN_COMMON, UNKNOWN = 0.5, 0.6, "unknown"
 #: Words of the windows of a paragraph; each overlaps the next one by half. A notice of up to half a window is whole in one.
 WINDOWS = (12, 48)
@@ -180,7 +182,11 @@ def licensed(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     lines = paragraphs(docs)
-    some = lines.where(F.size("words") >= 3).select(F.array_join("words", " ").alias("line")).orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS)
+    # distinct paragraphs under a bound on their hash that lets about OVERSAMPLED times the sample through: what tasks send does not grow
+    n_lines = docs.agg(F.sum(F.coalesce(F.size(F.split("text", "\n")), F.lit(0)))).first()[0] or 1
+    bound = f"pmod(xxhash64(line), {HASHES}L) <= {HASHES}D * least(1D, {OVERSAMPLED * SAMPLE_PARAGRAPHS}D / {n_lines})"
+    some = lines.where(F.size("words") >= 3).select(F.array_join("words", " ").alias("line")).where(bound).distinct()
+    some = some.orderBy(F.expr(f"pmod(xxhash64(line), {HASHES}L)"), "line").limit(SAMPLE_PARAGRAPHS)
     marks = {w for ls in TEMPLATES.values() for line in ls for w in tokens(line)}
     sample = [r.line for r in some.collect() if len(set(r.line.split()) & marks) < 0.5 * len(set(r.line.split()))]
     rows = fitted(sample)
