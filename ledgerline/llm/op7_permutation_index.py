@@ -34,6 +34,11 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(dim.select("d")), F.size("v") == F.col("d"), "left_semi")
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The rows of x times powers of two that bring their largest components near one: cosines stay as they are, and no norm overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
     """The near nearest pivots of each row of x, nearest first."""
     far = -(x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.T
@@ -41,48 +46,52 @@ def orders(x: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
 
 
 def blocks(rows: DataFrame, size: int, pivots: np.ndarray, near: int, name: str) -> tuple[DataFrame, int]:
-    """One row (block, ids, v, orders) for about `size` of rows (id, v), dealt by hash; and how many blocks."""
+    """One row (block, ids, firsts, v, orders) for about `size` of rows (id, first, v), dealt by hash; and how many blocks."""
     n = max(1, -(-rows.count() // size))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id")
-        x = np.stack(part["v"].to_numpy()).astype(np.float64)
-        return pd.DataFrame({"block": part["block"].iloc[:1], "ids": [part["id"].to_numpy()], "v": [x.tobytes()], "orders": [orders(x, pivots, near).tobytes()]})
+        x = scaled(np.stack(part["v"].to_numpy()).astype(np.float64))
+        return pd.DataFrame({"block": part["block"].iloc[:1], "ids": [part["id"].to_numpy()], "firsts": [part["first"].to_numpy()], "v": [x.tobytes()], "orders": [orders(x, pivots, near).tobytes()]})
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    return stored(dealt.groupBy("block").applyInPandas(pack, "block int, ids array<long>, v binary, orders binary"), name), n
+    return stored(dealt.groupBy("block").applyInPandas(pack, "block int, ids array<long>, firsts array<long>, v binary, orders binary"), name), n
 
 
 def searched(met: DataFrame, near: int, asked: int, k: int) -> DataFrame:
-    """Of each pair of an index block and a query block (ids, v, orders, qids, qv, qorders): rows (q, cls, score), k a query."""
+    """Of each pair of an index block and a query block (ids, firsts, v, orders, qids, qv, qorders): rows (q, cls, score), k a query.
+
+    Of equal scores and equal footrules, those with the smallest `firsts` are taken.
+    """
 
     def search(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             found: list[tuple] = []
-            for ids, v, order, qids, qv, qorder in zip(*(batch.column(c).to_pylist() for c in ("ids", "v", "orders", "qids", "qv", "qorders")), strict=True):
+            for ids, firsts, v, order, qids, qv, qorder in zip(*(batch.column(c).to_pylist() for c in ("ids", "firsts", "v", "orders", "qids", "qv", "qorders")), strict=True):
                 x, q = np.frombuffer(v).reshape(len(ids), -1), np.frombuffer(qv).reshape(len(qids), -1)
                 pivot = np.frombuffer(order, np.int16)
                 by = np.argsort(pivot, kind="stable")
                 row, place = by // near, (by % near).astype(np.int32)
                 ends = np.searchsorted(pivot[by], np.arange(PIVOTS + 1))
-                norms, ids = np.sqrt(np.einsum("ij,ij->i", x, x)), np.array(ids)
+                norms, ids, firsts = np.sqrt(np.einsum("ij,ij->i", x, x)), np.array(ids), np.array(firsts)
+                late = np.argsort(np.argsort(firsts, kind="stable"), kind="stable")
                 best = min(len(ids), max(LEAST, int(np.ceil(SHARE * len(ids)))))
                 for a, y, its in zip(qids, q, np.frombuffer(qorder, np.int16).reshape(len(qids), -1), strict=True):
                     # the footrule of two orders falls by what shared pivots gain: near - max(place, place) each
-                    gain = np.zeros(len(ids), np.int32)
+                    gain = np.zeros(len(ids), np.int64)
                     for j, p in enumerate(its[:asked].tolist()):
                         posting = slice(ends[p], ends[p + 1])
                         gain[row[posting]] += near - np.maximum(place[posting], j)
-                    top = np.argpartition(-gain, best - 1)[:best]
+                    top = np.argpartition(late - gain * len(ids), best - 1)[:best]
                     score = np.einsum("ij,j->i", x[top], y) / (norms[top] * np.sqrt(y @ y))
-                    first = np.lexsort((ids[top], -score))[:k]
+                    first = np.lexsort((firsts[top], -score))[:k]
                     found += zip([a] * len(first), ids[top][first].tolist(), score[first].tolist(), strict=True)
             cols = list(zip(*found, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["q", "cls", "score"])
 
-    return met.select("ids", "v", "orders", "qids", "qv", "qorders").mapInArrow(search, "q long, cls long, score double")
+    return met.select("ids", "firsts", "v", "orders", "qids", "qv", "qorders").mapInArrow(search, "q long, cls long, score double")
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
@@ -103,12 +112,12 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     sample = [r.v for r in classes.orderBy("cls").limit(PIVOTS).select("v").collect()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = np.array(sample, np.float64)
+    pivots = scaled(np.array(sample, np.float64))
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     near = min(NEAR, len(pivots))
     asked = stored(rows.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.xxhash64("v").alias("q")).distinct(), "queries")
-    index, n = blocks(classes.select(F.col("cls").alias("id"), "v"), BLOCK, pivots, near, "index")
-    queries, _ = blocks(asked.select(F.col("q").alias("id"), "v").distinct(), QUERY_BLOCK, pivots, near, "query-blocks")
+    index, n = blocks(classes.select(F.col("cls").alias("id"), F.get("ids", F.lit(0)).alias("first"), "v"), BLOCK, pivots, near, "index")
+    queries, _ = blocks(asked.select(F.col("q").alias("id"), F.col("q").alias("first"), "v").distinct(), QUERY_BLOCK, pivots, near, "query-blocks")
     to_all = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.col("ids").alias("qids"), F.col("v").alias("qv"), F.col("orders").alias("qorders"))
     best = searched(to_all.join(index, "block"), near, min(QUERY_NEAR, near), k + 1)
     each = best.join(classes.select("cls", "ids"), "cls").select("q", "score", F.explode("ids").alias("vec_id")).distinct()
