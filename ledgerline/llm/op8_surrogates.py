@@ -1,8 +1,10 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct for distinct entities, the same wherever one occurs.
 
 An entity is rewritten by a keyed permutation of the strings of its format (a Feistel network over a mixed radix, walked in
-its cycle), so two entities of a format never get one surrogate. What a permutation cannot rule out, a surrogate that is
-itself an entity of the corpus, is looked up in the table of all distinct entities; those get another round of the key.
+its cycle), so two entities of a format never get one surrogate. What a permutation cannot rule out is looked up in the
+table of all distinct entities: surrogates that are entities of the corpus, of whatever type, or another entity's surrogate.
+Those entities get further rounds until none is left. A second round has another key; from the third on the format is
+widened by a character more each round, as the corpus may hold most or all strings of a short format.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import small_or_shuffled, stored
+from ledgerline.llm._common import BROADCAST_BYTES, small_or_shuffled, stored
 
-#: Rounds of keys tried until no surrogate is an entity of the corpus.
-ROUNDS = 8
+#: The last round without a widened format.
+LAST_NARROW = 1
 # Given names by gender and script, and titles by gender.
 NAMES = {
     ("f", "latin"): "Alice Anna Carla Clara Diana Elena Emma Eva Helen Ines Irene Julia Laura Lucia Maria Marta Nina Nora Olga Paula Rosa Sara Sofia Vera".split(),
@@ -39,12 +41,13 @@ PATTERNS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?!\.?\w)",
-    "phone": r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])",
+    "phone": r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<![\w.+-])(?:\+\d{8,15}|[2-9]\d{9})(?![\w-])",
+    "given": rf"\b(?:{'|'.join(_GIVEN)}) {_NAME}(?:[ -]{_NAME})?",
     "person": rf"\b(?:{'|'.join(_GENDER)})\b\.? (?P<person_value>{_NAME}(?:[ -]{_NAME}){{0,2}})",
 }
 #: What a text must hold for a pattern to be tried at all.
 NEEDS = {"email": "@", "secret": "AKIA|gh[pousr]_|sk-|xox|(?i:passw|pwd|token|secret|api)", "card": r"\d", "iban": r"[A-Z]\d\d", "ssn": r"\d-\d", "ip": r"\d\.\d", "phone": r"\d", "person": "|".join(_GENDER)}
-_COMPILED = {k: (re.compile(NEEDS[k]), re.compile(p)) for k, p in PATTERNS.items()}
+_COMPILED = {k: (re.compile(NEEDS.get(k, "")), re.compile(p)) for k, p in PATTERNS.items()}
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -54,6 +57,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     for kind, (needs, pattern) in _COMPILED.items():
         if (kind in ("card", "ssn", "ip", "phone") and not digits) or not needs.search(text):
             continue
+        if kind == "given" and not any(name in text for name in _GIVEN):
+            continue
         for m in pattern.finditer(text):
             part = f"{kind}_value"
             a, b = m.span(part) if part in pattern.groupindex and m[part] is not None else m.span()
@@ -61,6 +66,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "person":
                 title = re.match(r"\w+", m[0])[0]
                 found.append((a, b, f"person {_GENDER[title]}", value))
+            elif kind == "given":
+                found.append((a, b, f"person {_GIVEN[re.match(r'[^ ]+', value)[0]][0]}", value))
             else:
                 found.append((a, b, kind, value.lower() if kind == "email" else value))
     found.sort(key=lambda x: (x[0], -x[1]))
@@ -95,7 +102,10 @@ def alphabet(c: str) -> str:
     for a, b in ("09", "az", "AZ", "ая", "АЯ", "αω", "ΑΩ", "àö", "øÿ", "ÀÖ", "ØÞ", "一龥", "ぁん", "ァン", "가힣", "اي", "את"):
         if a <= c <= b:
             return "".join(x for x in map(chr, range(ord(a), ord(b) + 1)) if x.isalnum() and (not c.islower() or x.islower()) and (not c.isupper() or x.isupper()))
-    return c
+    if not c.isalpha():
+        return c
+    start = ord(c) & ~0x3F  # of other scripts, the letters around it
+    return "".join(x for x in map(chr, range(start, start + 64)) if x.isalpha() and x.islower() == c.islower() and x.isupper() == c.isupper())
 
 
 def rewritten(value: str, choices: list[str], key: bytes, tweak: str) -> str:
@@ -114,8 +124,27 @@ def _luhn(digits: list[int]) -> int:
     return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))) % 10
 
 
+def widened(kind: str, value: str, more: int) -> str:
+    """value with `more` characters more, of the kind of its last ones; check sums stay, e-mail addresses grow before the @."""
+    if more <= 0:
+        return value
+    if kind == "email":
+        at = value.index("@")
+        return value[:at] + "a" * more + value[at:]
+    if kind == "ip":
+        return value + ".1" * more
+    if kind == "card":
+        longer = value + "0" * (more - 1)
+        digits = [int(c) for c in longer if c.isdigit()]
+        want = _luhn([int(c) for c in value if c.isdigit()])
+        return longer + str((want - _luhn([*digits, 0])) % 10)
+    last = value[-1]
+    return value + (last.lower() if last.isalnum() else "a") * more
+
+
 def surrogate(kind: str, value: str, key: bytes, round_: int = 0) -> str:
-    """The surrogate of a canonical value; for a format, different values have different ones."""
+    """The surrogate of a canonical value; for a format and round, different values have different ones."""
+    value = widened(kind, value, round_ - LAST_NARROW)
     shape = "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in value)
     tweak = f"{kind}|{shape}|{round_}"
     if kind == "card":
@@ -128,8 +157,8 @@ def surrogate(kind: str, value: str, key: bytes, round_: int = 0) -> str:
     if kind == "ip":
         octets = [int(x) for x in value.split(".")]
         first = range(1, 224) if 0 < octets[0] < 224 else [0, *range(224, 256)]
-        choices = ["".join(map(chr, r)) for r in (first, *[range(256)] * 3)]
-        return ".".join(str(ord(c)) for c in rewritten("".join(map(chr, octets)), choices, key, f"ip|{first}|{round_}"))
+        choices = ["".join(map(chr, r)) for r in (first, *[range(256)] * (len(octets) - 1))]
+        return ".".join(str(ord(c)) for c in rewritten("".join(map(chr, octets)), choices, key, f"ip|{first}|{len(octets)}|{round_}"))
     if kind.startswith("person"):
         gender, words = kind[-1], re.split(r"([ -])", value)
         return "".join(_name(w, gender if i == 0 and len(words) > 1 else "", key, round_) for i, w in enumerate(words))
@@ -195,33 +224,32 @@ def rounds(known: DataFrame, key: bytes) -> DataFrame:
         return work
 
     schema = "kind string, value string, new string"
-    todo, done, settled = known, None, None
-    for r in range(ROUNDS):
+    values = known.select(F.col("value").alias("new")).distinct()
+    todo, done, settled, r = known, None, None, 0
+    while True:
         new = stored(todo.mapInArrow(at(r), schema), f"surrogates-{r}")
-        bad = new.join(known.select("kind", F.col("value").alias("new")), ["kind", "new"], "left_semi").select("kind", "value")
-        twice = new.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min("value").alias("first")).where("n > 1")
-        bad = bad.union(new.join(twice, ["kind", "new"]).where("value <> first").select("kind", "value"))
+        bad = new.join(values, "new", "left_semi").select("kind", "value")
+        # of several entities with one surrogate the first keeps it; a name that men and women share is one
+        twice = new.groupBy("new").agg(F.min("value").alias("first"), F.max("value").alias("last")).where("first <> last")
+        bad = bad.union(new.join(twice, "new").where("value <> first").select("kind", "value"))
         if settled is not None:
-            bad = bad.union(new.join(settled, ["kind", "new"], "left_semi").select("kind", "value"))
+            bad = bad.union(new.join(settled, "new", "left_semi").select("kind", "value"))
         bad = stored(bad.distinct(), f"collisions-{r}")
         good = new.join(bad, ["kind", "value"], "left_anti")
-        settled = good.select("kind", "new") if settled is None else settled.union(good.select("kind", "new"))
+        settled = good.select("new") if settled is None else settled.union(good.select("new"))
         if r:
             own = good.select("kind", "value", F.lit(r).alias("round"))
             done = own if done is None else done.union(own)
-        todo = bad
         if not bad.limit(1).count():
-            break
-    else:
-        last = todo.select("kind", "value", F.lit(ROUNDS).alias("round"))
-        done = last if done is None else done.union(last)
-    return done if done is not None else known.limit(0).select("kind", "value", F.lit(0).alias("round"))
+            return done if done is not None else known.limit(0).select("kind", "value", F.lit(0).alias("round"))
+        todo, r = bad, r + 1
 
 
 def pseudonymised(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, text with surrogates, n_entities, kinds (sorted types), spans (start, length, kind in the new text).
 
-    Defined results: null texts stay null with 0 entities; an entity has one surrogate wherever it occurs, e-mail
+    Defined results: null texts stay null with 0 entities; no surrogate is an entity of the corpus, and no two entities share
+    one; a short format of which the corpus holds too much gets longer surrogates; an entity has one surrogate wherever it occurs, e-mail
     addresses regardless of case; surrogates have the format, script and check sum of the original and, for known given
     names after a title, its gender; repeated rows are rewritten alike; an empty table gives an empty result; other
     columns are not read.
@@ -263,7 +291,9 @@ def pseudonymised(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     if again.limit(1).count():
         later = hashed.select("th", "text").mapInArrow(owners, "th long, kind string, value string").join(small_or_shuffled(again, 200), ["kind", "value"])
         later = later.groupBy("th").agg(F.collect_set(F.struct("kind", "value", "round")).alias("other"))
-        hashed = hashed.join(small_or_shuffled(stored(later, "later"), 500), "th", "left")
+        later = stored(later, "later")
+        few = (later.agg(F.sum(F.size("other"))).first()[0] or 0) * 200 <= BROADCAST_BYTES
+        hashed = hashed.join(F.broadcast(later) if few else later, "th", "left")
     else:
         hashed = hashed.withColumn("other", F.lit(None).cast("array<struct<kind: string, value: string, round: int>>"))
     return hashed.select("doc_id", "text", "other").mapInArrow(rewrite, "doc_id long, text string, n_entities int, kinds array<string>, spans array<struct<start: bigint, length: bigint, kind: string>>")

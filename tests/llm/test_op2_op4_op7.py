@@ -244,3 +244,20 @@ def test_nearest_exact_on_few(spark):
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     three = nearest(spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.5]), (2, [2.0, 4.0])], "vec_id long, embedding array<float>")).collect()
     assert [(r.rank, r.vec_id) for r in sorted(three, key=lambda r: r.rank)] == [(1, 2), (2, 1)]
+
+
+def test_nearest_ties_and_large_components(spark):
+    rng = np.random.default_rng(5)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])]
+    rows += [(i, [0.5, 0.5, 0.5, 0.5] if i % 2 else [2.0**i, 2.0**i, 2.0**i, 2.0**i]) for i in range(1, 41)]  # one cosine, many vectors
+    rows += [(100 + i, [-1e200 * float(x) for x in rng.random(4)]) for i in range(1, 8)]
+    rows += [(50, [1e200, -1e200, 0.0, 0.0])]
+    rows += [(1000 + i, (-rng.random(4)).tolist()) for i in range(1, 300)]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert [got[0][k][0] for k in range(1, 6)] == [50, 1, 2, 3, 4]
+    assert all(abs(got[0][k][1] - want) < 1e-12 for k, want in ((1, 2**-0.5), (2, 0.5), (5, 0.5)))
+    v = {i: np.array(x) / max(map(abs, x)) for i, x in rows}
+    want = sorted((-float(v[50] @ x / np.sqrt((v[50] @ v[50]) * (x @ x))), i) for i, x in v.items() if i != 50)[:5]
+    assert [got[50][k][0] for k in range(1, 6)] == [i for _, i in want]

@@ -70,14 +70,24 @@ def test_pseudonymised(spark):
     assert pseudonymised(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_no_surrogate_is_an_entity_of_the_corpus(spark):
-    """All 16 values of a format occur, so every surrogate collides in every round; with half of them, later rounds settle."""
-    first = [surrogate("phone", f"+1 ({n}) 555-8389", b"surrogates") for n in range(200, 260)]
-    texts = [f"call +1 ({n}) 555-8389" for n in range(200, 260)] + [f"call {x}" for x in first[:20]]
-    rows = [(i, t) for i, t in enumerate(texts)]
-    got = {r.doc_id: r.text for r in pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    news, olds = list(got.values()), set(texts)
-    assert len(set(news)) == len(news) and not olds & set(news)
+def test_surrogates_against_brute_force(spark):
+    """Formats that the corpus holds wholly: every surrogate of a round collides, until the format is widened."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"{a.upper()}{b}" for a in letters for b in letters]
+    texts = [f"Mr {n} came, and Mr {n} left." for n in names] + [f"Mr {n} again" for n in names[:40]]
+    texts += [f"call +1 ({n}) 555-8389 or {m}" for n in range(200, 290) for m in (f"+49301234{n}",)]
+    texts += [f"call {surrogate('phone', f'+1 ({n}) 555-8389', b'surrogates')}" for n in range(200, 240)]
+    texts += ["Anna Novak wrote to Mrs Anna Novak", "ring 5145558389", "สมชาย Mr ก่อน"]
+    olds = [[(t[a:b], v) for a, b, _, v in entities(t)] for t in texts]
+    got = {r.doc_id: r for r in pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    new_of, corpus = {}, {v for x in olds for _, v in x}
+    for i, old in enumerate(olds):
+        news = [got[i].text[s.start : s.start + s.length] for s in got[i].spans]
+        assert len(news) == len(old)
+        for (_, value), new in zip(old, news, strict=True):
+            assert new_of.setdefault(value, new) == new and new not in corpus
+    assert len(set(new_of.values())) == len(new_of) == len(corpus) > 676 + 90 + 90 + 2
+    assert all(new[0].isupper() and new[1:].islower() for v, new in new_of.items() if v in names)
 
 
 # --- licenses
