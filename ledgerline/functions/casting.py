@@ -6,6 +6,8 @@ Spark alone would also take `2024`, `12d` or `0x1p3`.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def column_type(name: str) -> str:
-    """`string`, `date` or `double` by the column's name; the first rule that fits wins."""
-    if name.endswith("_fiscal_year"):
-        return "string"
-    if name.endswith("_date"):
-        return "date"
-    if name.endswith(("_code", "_name", "_description")):
-        return "string"
-    return "double" if any(part in name for part in MONEY) else "string"
+#: Types by name: of the patterns that fit a name, the first one decides.
+TYPE_RULES = (
+    (r"_fiscal_year\Z", "string"),
+    (r"_date\Z", "date"),
+    (r"_(code|name|description)\Z", "string"),
+    ("|".join(MONEY), "double"),
+    ("", "string"),
+)
 
 
 def try_date(c: Column) -> Column:
@@ -56,4 +57,5 @@ def as_double(df: DataFrame, name: str) -> Column:
 def typed(df: DataFrame) -> DataFrame:
     """Every column in the type of its name, values that do not fit as NULL."""
     casts = {"string": lambda c: c.cast("string"), "date": try_date, "double": try_double}
-    return df.select(*[casts[column_type(c)](quoted(c)).alias(c) for c in df.columns])
+    types = {c: next(kind for pattern, kind in TYPE_RULES if re.search(pattern, c)) for c in df.columns}
+    return df.select(*[casts[kind](quoted(c)).alias(c) for c, kind in types.items()])

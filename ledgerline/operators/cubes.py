@@ -14,8 +14,9 @@ TOP, TOP_BY_AGENCY = 25, 15
 MOST_OPTIONS, MOST_LIVE = 10_000, 400
 #: Fields that are known to have more values than any list may hold, never scanned.
 SEARCHED_ONLY = {"recipient_name", "recipient_parent_name", "recipient_uei"}
-#: Dimensions in which agencies are not broken down: the agency itself and single recipients' places.
-NOT_BY_AGENCY = {"awarding_agency"}
+# Dimensions in which agencies are broken down, and the name columns of code fields.
+BY_AGENCY = ("recipient", "recipient_parent", "state", "county", "zip", "naics", "psc", "competition", "set_aside", "assistance_type", "cfda", "business_size")
+CODE_NAMES = {"funding_sub_agency_code": "funding_sub_agency_name", "awarding_sub_agency_code": "awarding_sub_agency_name"}
 
 
 def _sums(df: DataFrame) -> list[Column]:
@@ -66,9 +67,12 @@ def breakdown(df: DataFrame, spec: DatasetSpec, key: str, n: int = TOP) -> DataF
 def agency_breakdown(df: DataFrame, spec: DatasetSpec, key: str, n: int = TOP_BY_AGENCY) -> DataFrame:
     """The n largest labels of each agency and year, and of each agency over all rows: (agency, period, label, ..., rank).
 
-    Grouped by agency, year and label before anything is ranked, so that a large agency is never one group of its rows.
+    Rows without an agency are in no list; dimensions not in BY_AGENCY are errors. Grouped by agency, year and label before
+    anything is ranked, so that a large agency is never one group of its rows.
     """
-    rows = _slim(df, agency=or_unknown(F.col("awarding_agency_name")), fy=quoted(YEAR), label=dimension(spec, key)).where("label IS NOT NULL")
+    if key not in BY_AGENCY:
+        raise ValueError(f"not a dimension of agencies: {key!r}")
+    rows = _slim(df, agency=F.col("awarding_agency_name"), fy=quoted(YEAR), label=dimension(spec, key)).where("agency IS NOT NULL AND label IS NOT NULL")
     years = rows.groupBy("agency", "fy", "label").agg(F.sum("_obl").alias("_obl"), F.count("*").alias("_n"))
     sets = years.groupingSets([["agency", "fy", "label"], ["agency", "label"]], "agency", "fy", "label")
     sums = sets.agg(F.grouping("fy").alias("_all"), F.round(F.coalesce(F.sum("_obl"), F.lit(0.0)), 2).alias("obligations"), F.sum("_n").alias("transactions"))
@@ -94,27 +98,36 @@ def county_names(df: DataFrame) -> DataFrame:
 
 
 def filter_options(df: DataFrame, fields: list[str], most: int = MOST_OPTIONS) -> DataFrame:
-    """Values of each field by obligations, of fields with at most `most` values: (field, value, obligations, rank).
+    """Values of each field by obligations, of fields with at most `most` values: (field, value, label, obligations, rank).
 
-    All fields are counted in one pass over the rows; fields that only are searched are not.
+    Codes with a name column (CODE_NAMES) are labelled `name (code)`, with the smallest name where there are several; other
+    values are their own labels. All fields are counted in one pass over the rows; fields that only are searched, and those
+    that are not there, are left out.
     """
     own = [f for f in fields if f not in SEARCHED_ONLY and f in df.columns]
-    rows = df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), quoted(f).cast("string").alias("value")) for f in own])).alias("x"), obligation(df).alias("_obl"))
-    sums = rows.select("x.*", "_obl").where("value IS NOT NULL").groupBy("field", "value").agg(F.round(F.coalesce(F.sum("_obl"), F.lit(0.0)), 2).alias("obligations"))
+    name = {f: quoted(CODE_NAMES[f]).cast("string") if CODE_NAMES.get(f) in df.columns else F.lit(None).cast("string") for f in own}
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), quoted(f).cast("string").alias("value"), name[f].alias("name")) for f in own])
+    rows = df.select(F.explode(pairs).alias("x"), obligation(df).alias("_obl")).select("x.*", "_obl").where("value IS NOT NULL")
+    sums = rows.groupBy("field", "value").agg(F.min("name").alias("name"), F.round(F.coalesce(F.sum("_obl"), F.lit(0.0)), 2).alias("obligations"))
+    sums = sums.select("field", "value", option_label(F.col("value"), F.col("name")).alias("label"), "obligations")
     few = sums.groupBy("field").count().where(F.col("count") <= most).select("field")
     order = Window.partitionBy("field").orderBy(F.desc("obligations"), "value")
     return sums.join(F.broadcast(few), "field").withColumn("rank", F.row_number().over(order))
 
 
 def live_options(df: DataFrame, field: str, labels: DataFrame | None = None, most: int = MOST_LIVE) -> DataFrame:
-    """Distinct values of a field: (value, label, searchable). Coded ones by label, others by value; too many: searchable, none listed.
+    """Distinct values of a field: (value, label, searchable). Coded ones by label, others by value.
 
+    A field with more than `most` values, or one that the rows do not have, is one row without a value that says searchable.
     labels: rows (value, label) of a codebook.
     """
+    none = F.lit(None).cast("string")
+    if field not in df.columns:
+        return df.sparkSession.range(1).select(none.alias("value"), none.alias("label"), F.lit(True).alias("searchable"))
     values = df.select(quoted(field).cast("string").alias("value")).where("value IS NOT NULL").distinct().limit(most + 1)
     # at most `most` + 1 rows from here on
     over = values.agg((F.count("*") > most).alias("searchable"))
-    shown = values.crossJoin(over).where("NOT searchable")
+    shown = over.join(values, ~F.col("searchable"), "left").where("searchable OR value IS NOT NULL")
     if labels is not None:
         shown = shown.join(F.broadcast(labels), "value", "left").withColumn("label", option_label(F.col("value"), F.col("label")))
         return shown.select("value", "label", "searchable").orderBy(F.asc_nulls_last("label"), "value")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CODE_LINE = r"^\s*([^\s=]{1,15})\s+=\s+(.*?)\s*\z"
+# Fixed value: the form of a line that tells a code's label.
+CODE_LINE = r"^\s*(\S{1,15})\s*=\s*(\S.*?)\s*\z"
 
 
 def column_names(headers: DataFrame) -> DataFrame:
@@ -27,12 +28,12 @@ def applies_to(c: Column) -> Column:
 
 
 def codebook(dictionary: DataFrame) -> DataFrame:
-    """Coded values (column, code, label, applies_to) from lines `code = label` of domain_values; prose is skipped."""
+    """Coded values (column, code, label, applies_to) from lines `code = label` of domain_values, with or without blanks; prose and codes without a label are skipped."""
     name = F.nullif("award_element", F.lit(""))
     if "element" in dictionary.columns:
         name = F.coalesce(name, F.col("element"))
     lines = dictionary.select(name.alias("column"), applies_to(F.coalesce("award_file", F.lit(""))).alias("applies_to"), F.explode(F.split("domain_values", r"\r?\n")).alias("line"))
-    rows = lines.where(F.col("line").rlike(CODE_LINE))
+    rows = lines.where(F.col("line").rlike(CODE_LINE) & ~F.regexp_extract("line", CODE_LINE, 1).contains("="))
     return rows.select("column", F.regexp_extract("line", CODE_LINE, 1).alias("code"), F.regexp_extract("line", CODE_LINE, 2).alias("label"), "applies_to")
 
 

@@ -152,7 +152,7 @@ def a09_sorted_compaction(contracts, spark, sf_dir):
     return _years(_serve(contracts, spark, "recipient_name"))
 
 
-@query()
+@query("SELECT 'part.CSV' AS member, n_name AS nation, CAST(n_nationkey AS VARCHAR) AS key FROM nation")
 def a10_zip_landing(spark, sf_dir):
     """CSV members of ZIP archives made from the nations, one archive a region, in tasks."""
     root = scratch(spark, "zips")
@@ -334,7 +334,8 @@ def b15_slug(contracts):
     return contracts.select(name.alias("name"), fields.slug(F.concat(F.lit("--"), name, F.lit(" & Co."))).alias("slug")).distinct()
 
 
-@query()
+@query("""SELECT county, state, list_aggregate(list_transform(regexp_extract_all(county, '[A-Za-z]+|[^A-Za-z]+'), lambda x: upper(x[1]) || lower(x[2:])), 'string_agg', '') || CASE WHEN state <> '' THEN ', ' || state ELSE '' END AS label
+FROM (SELECT concat(upper(s_name), ' O''BRIEN-', s_nationkey) AS county, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'TX' END AS state FROM supplier)""")
 def b16_county_labels(spark, sf_dir):
     rows = _base(spark, sf_dir, "supplier").selectExpr("concat(upper(s_name), \" O'BRIEN-\", s_nationkey) c", "if(s_suppkey % 3 = 0, '', 'TX') s")
     return rows.select(F.col("c").alias("county"), F.col("s").alias("state"), fields.county_label(F.col("c"), F.col("s")).alias("label"))
@@ -358,7 +359,7 @@ def b19_logical_id(manifest_):
     return parts.withColumn("again", fields.logical_id(F.upper("product"), F.col("fiscal_year"), F.col("agency")))
 
 
-@query()
+@query("SELECT pos, CASE WHEN again = 1 THEN display ELSE display || ' (' || chr(65 + pos) || ')' END AS name FROM (SELECT CAST(n_nationkey AS INT) AS pos, concat('Region ', n_regionkey) AS display, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS again FROM nation)")
 def b20_duplicate_headers(spark, sf_dir):
     headers = _base(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("pos"), F.concat(F.lit("Region "), "n_regionkey").alias("display"))
     return refdata.column_names(headers)
@@ -370,9 +371,9 @@ def b21_arrays_to_columns(spark, sf_dir):
     return refdata.named_rows(rows, ["a", "b"])
 
 
-_BOOK = """SELECT award_element AS "column", trim(regexp_extract(line, '^\\s*([^\\s=]{1,15})\\s+=\\s+(.*?)\\s*$', 1)) AS code, trim(regexp_extract(line, '^\\s*([^\\s=]{1,15})\\s+=\\s+(.*?)\\s*$', 2)) AS label,
+_BOOK = """SELECT award_element AS "column", trim(regexp_extract(line, '^\\s*(\\S{1,15})\\s*=\\s*(\\S.*?)\\s*$', 1)) AS code, trim(regexp_extract(line, '^\\s*(\\S{1,15})\\s*=\\s*(\\S.*?)\\s*$', 2)) AS label,
   CASE WHEN award_file LIKE '%Contracts%' AND award_file LIKE '%Assistance%' THEN 'both' WHEN award_file LIKE '%Contracts%' THEN 'Contracts' WHEN award_file LIKE '%Assistance%' THEN 'Assistance' ELSE '' END AS applies_to
-FROM (SELECT *, unnest(string_split(domain_values, chr(10))) AS line FROM dictionary) WHERE regexp_matches(line, '^\\s*([^\\s=]{1,15})\\s+=\\s+(.*?)\\s*$')"""
+FROM (SELECT *, unnest(string_split(domain_values, chr(10))) AS line FROM dictionary) WHERE regexp_matches(line, '^\\s*(\\S{1,15})\\s*=\\s*(\\S.*?)\\s*$') AND NOT contains(regexp_extract(line, '^\\s*(\\S{1,15})\\s*=\\s*(\\S.*?)\\s*$', 1), '=')"""
 
 
 @query(_BOOK, "dictionary")
@@ -514,9 +515,9 @@ def c09b_timeseries_cube_assistance(assistance):
 
 
 def _ranked_sql(label: str, n: int | None, agency: bool = False, source: str = "contracts") -> str:
-    a = "coalesce(nullif(awarding_agency_name, ''), '(unknown)') AS agency, " if agency else ""
+    a = "awarding_agency_name AS agency, " if agency else ""
     k = "agency, " if agency else ""
-    null = "" if agency else "WHERE fy IS NOT NULL"
+    null = "WHERE agency IS NOT NULL" if agency else "WHERE fy IS NOT NULL"
     limit = f"WHERE rank <= {n}" if n else ""
     return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k}period ORDER BY obligations DESC NULLS LAST, label NULLS LAST) AS rank FROM (
 SELECT {k}CASE WHEN g = 1 THEN 'all' ELSE fy END AS period, label, obligations, transactions FROM (SELECT {k}fy, label, grouping(fy) AS g, round(coalesce(sum(obl), 0), 2) AS obligations, count(*) AS transactions
@@ -559,12 +560,13 @@ def c13_county_names(contracts):
     return cubes.county_names(contracts).drop("label")
 
 
-_OPTION_FIELDS = ["recipient_state_code", "naics_code", "extent_competed", "recipient_name", "contract_transaction_unique_key"]
+_OPTION_FIELDS = ["recipient_state_code", "naics_code", "extent_competed", "recipient_name", "contract_transaction_unique_key", "awarding_sub_agency_code"]
+_NAMED = "CASE WHEN name <> '' THEN name || ' (' || value || ')' ELSE value END"
 
 
-@query("SELECT field, value, obligations, row_number() OVER (PARTITION BY field ORDER BY obligations DESC, value) AS rank FROM (SELECT *, count(*) OVER (PARTITION BY field) AS c FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS field, {f} AS value, round(coalesce(sum({OBL}), 0), 2) AS obligations FROM contracts WHERE {f} IS NOT NULL GROUP BY ALL" for f in _OPTION_FIELDS if f != "recipient_name") + ")) WHERE c <= 10000", "contracts")
+@query(f"SELECT field, value, {_NAMED} AS label, obligations, row_number() OVER (PARTITION BY field ORDER BY obligations DESC, value) AS rank FROM (SELECT *, count(*) OVER (PARTITION BY field) AS c FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS field, {f} AS value, {'min(awarding_sub_agency_name)' if f == 'awarding_sub_agency_code' else 'NULL'} AS name, round(coalesce(sum({OBL}), 0), 2) AS obligations FROM (SELECT *, CAST(length(awarding_sub_agency_name) AS VARCHAR) AS awarding_sub_agency_code FROM contracts) WHERE {f} IS NOT NULL GROUP BY {f}" for f in _OPTION_FIELDS if f != "recipient_name") + ")) WHERE c <= 10000", "contracts")
 def c14_filter_options(contracts):
-    return cubes.filter_options(contracts, _OPTION_FIELDS)
+    return cubes.filter_options(contracts.withColumn("awarding_sub_agency_code", F.length("awarding_sub_agency_name").cast("string")), _OPTION_FIELDS)
 
 
 @query(f"SELECT DISTINCT extent_competed AS value, CASE WHEN b.label IS NOT NULL AND b.label <> '' THEN b.label || ' (' || extent_competed || ')' ELSE extent_competed END AS label, false AS searchable FROM contracts LEFT JOIN (SELECT * FROM (VALUES ('A', 'FULL'), ('R', '')) v(code, label)) b ON extent_competed = code", "contracts")
@@ -573,6 +575,11 @@ def c15_live_options(contracts, spark, sf_dir):
     return cubes.live_options(contracts, "extent_competed", labels)
 
 
+@query("SELECT CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS label, count(DISTINCT contract_transaction_unique_key) > 400 AS searchable FROM contracts", "contracts")
+def c15b_too_many_options(contracts):
+    return cubes.live_options(contracts, "contract_transaction_unique_key")
+
+
 _ZIP = " UNION ALL ".join(f"SELECT '{n}' AS product, {_FY} AS fiscal_year, awarding_agency_name AS agency, nullif(substr({z}, 1, 5), '') AS zip, min(recipient_state_code) AS state, round(sum({OBL}), 2) AS obligations, count(*) AS transactions FROM {n} GROUP BY ALL" for n, z in (("contracts", "recipient_zip_4_code"), ("assistance", "recipient_zip_code")))
 
 
@@ -828,7 +835,7 @@ def g04_distinct(contracts):
 _ROWS = "SELECT 'contracts/' || CAST(2020 + l_linenumber % 5 AS VARCHAR) || '/' || lpad(CAST(l_suppkey % 25 AS VARCHAR), 3, '0') AS logical_id, count(*) AS n FROM lineitem GROUP BY 1"
 
 
-@query(f"SELECT * FROM manifest WHERE logical_id NOT IN (SELECT logical_id FROM ({_CHANGED})) UNION ALL SELECT c.logical_id, c.etag, coalesce(n, 0) FROM ({_CHANGED}) c LEFT JOIN ({_ROWS}) r ON c.logical_id = r.logical_id", "listing", "manifest")
+@query(f"SELECT * FROM manifest WHERE logical_id NOT IN (SELECT c.logical_id FROM ({_CHANGED}) c JOIN ({_ROWS}) r ON c.logical_id = r.logical_id) UNION ALL SELECT c.logical_id, c.etag, n FROM ({_CHANGED}) c JOIN ({_ROWS}) r ON c.logical_id = r.logical_id", "listing", "manifest")
 def h01_incremental_refresh(listing, manifest_, spark, sf_dir):
     lines = _base(spark, sf_dir, "lineitem").select(F.expr("concat('contracts/', 2020 + l_linenumber % 5, '/', lpad(CAST(l_suppkey % 25 AS STRING), 3, '0')) logical_id"))
     return refreshed(lines, manifest.parse_listing(listing), manifest_)[1]

@@ -96,7 +96,7 @@ DICTIONARY = """
 SELECT concat('column_', CAST(p_partkey AS VARCHAR(20))) AS award_element,
   CASE WHEN p_partkey % 3 = 0 THEN 'Contracts, Assistance' WHEN p_partkey % 3 = 1 THEN 'Contracts' ELSE 'Subawards' END AS award_file,
   concat(p_brand, ' = ', p_name, chr(10), 'See https://example.org/codes', chr(10), '  S', CAST(p_size AS VARCHAR(20)), ' = SIZE = ',
-         p_type, '  ', chr(10), 'Note that a = b is prose') AS domain_values
+         p_type, '  ', chr(10), 'Note that a = b is prose', chr(10), 'F=', p_type, chr(10), 'C = ', chr(10), 'X=Y=Z') AS domain_values
 FROM part
 """
 

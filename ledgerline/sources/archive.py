@@ -141,9 +141,12 @@ def slice_paths(manifest: DataFrame, root: str) -> list[str]:
 
 
 def write_serve(df: DataFrame, root: str, sort: str | None = None) -> None:
-    """The serve layer: folders fiscal_year=, without the leftover agency; sorted by a column, row groups can be skipped."""
+    """The serve layer: folders fiscal_year=, without the leftover agency; sorted by a column, row groups can be skipped.
+
+    Unsorted, years are rebalanced: adaptive execution splits large ones and joins small ones to files of its target size.
+    """
     df = df.drop("agency")
-    df = df.repartitionByRange("fiscal_year", sort).sortWithinPartitions("fiscal_year", sort) if sort else df.repartition("fiscal_year", F.spark_partition_id() % 8)
+    df = df.repartitionByRange("fiscal_year", sort).sortWithinPartitions("fiscal_year", sort) if sort else df.hint("rebalance", "fiscal_year")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", MOST_ROWS).partitionBy("fiscal_year").parquet(root)
 
 

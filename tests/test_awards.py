@@ -12,12 +12,14 @@ from ledgerline.functions.fields import CONTRACTS
 from ledgerline.operators import cubes, guards, manifest, refdata, summary, table
 from ledgerline.operators.table import TableRequest, build_table
 from ledgerline.sources import archive
+from ledgerline.streaming.refresh import refreshed
 
 A, B = ("2024-01-01", "2024-12-31"), ("2025-01-01", "2025-12-31")
 
 
 @pytest.fixture(scope="module")
 def contracts(spark):
+    # Rows whose sums and changes (below) are known.
     rows = [
         ("C0001", "Acme Corp", "AAA", "CA", "2024-03-01", "100"),
         ("C0002", "Acme Corp", "AAA", "CA", "2024-06-01", "200"),
@@ -83,12 +85,15 @@ def test_filters(contracts):
     assert fields.date_field("nope") == "action_date" and fields.date_field("last_modified_date") == "last_modified_date"
 
 
-def test_type_rules():
-    for name in ("award_amount_basis_code", "award_amount_basis_name", "action_date_fiscal_year", "something"):
-        assert casting.column_type(name) == "string"
-    for name in ("federal_action_obligation", "total_dollars_obligated", "face_value_of_loan", "total_outlayed_amount_for_overall_award", "original_loan_subsidy_cost", "obligated_amount_from_COVID-19_supplementals_for_overall_award"):
-        assert casting.column_type(name) == "double"
-    assert casting.column_type("action_date") == "date"
+def test_type_rules(spark):
+    kinds = {
+        "string": ["award_amount_basis_code", "award_amount_basis_name", "action_date_fiscal_year", "something"],
+        "double": ["federal_action_obligation", "total_dollars_obligated", "face_value_of_loan", "obligated_amount_from_COVID-19_supplementals_for_overall_award"],
+        "date": ["action_date"],
+    }
+    names = [n for ns in kinds.values() for n in ns]
+    df = casting.typed(spark.createDataFrame([("x",) * len(names)], ", ".join(f"`{n}` string" for n in names)))
+    assert dict(df.dtypes) == {n: kind for kind, ns in kinds.items() for n in ns}
 
 
 def test_casts(spark):
@@ -178,9 +183,9 @@ def test_listing_and_changes(spark):
 def test_dictionary(spark):
     headers = spark.createDataFrame([(0, "Element"), (1, "Award File"), (2, "Award Element"), (3, "Award File"), (27, "Element")], "pos int, display string")
     assert [r.name for r in refdata.column_names(headers).orderBy("pos").collect()] == ["Element", "Award File", "Award Element", "Award File (D)", "Element (AB)"]
-    text = "A = ALPHA\r\n  B  =  BETA = 2 \nSee a longer = line of prose\nAVERYLONGCODE1234 = x\n= none"
+    text = "A = ALPHA\r\n  B  =  BETA = 2 \nC=GAMMA\nD = \nE=F=G\nSee a longer = line of prose\nAVERYLONGCODE1234 = x\n= none"
     book = refdata.codebook(spark.createDataFrame([("", "col", "Contracts and Assistance", text)], "award_element string, element string, award_file string, domain_values string"))
-    assert [(r["column"], r.code, r.label, r.applies_to) for r in book.collect()] == [("col", "A", "ALPHA", "both"), ("col", "B", "BETA = 2", "both")]
+    assert [(r["column"], r.code, r.label, r.applies_to) for r in book.collect()] == [("col", "A", "ALPHA", "both"), ("col", "B", "BETA = 2", "both"), ("col", "C", "GAMMA", "both")]
 
 
 def test_csv_landing(spark, tmp_path):
@@ -234,6 +239,10 @@ def test_cube_rules(spark):
     assert {(r.period, r.label): r.obligations for r in cubes.breakdown(df, CONTRACTS, "state").collect()} == {("2024", "CA"): 5.0, ("all", "CA"): 5.0}
     by = {(r.agency, r.period, r.label): r.obligations for r in cubes.agency_breakdown(df, CONTRACTS, "state").collect()}
     assert by == {("X", "2024", "CA"): 5.0, ("X", "all", "CA"): 5.0, ("X", "all", "NY"): 7.0}
+    nobody = df.withColumn("awarding_agency_name", F.lit(None).cast("string"))
+    assert cubes.agency_breakdown(nobody, CONTRACTS, "state").count() == 0
+    with pytest.raises(ValueError):
+        cubes.agency_breakdown(df, CONTRACTS, "awarding_agency")
     kpis = {(r.slug, r.period): (r.obligations, r.transactions) for r in cubes.agency_kpis(df).collect()}
     assert kpis == {("x", "2024"): (5.0, 2), ("x", "2025"): (0.0, 0), ("x", "all"): (5.0, 2), ("unknown", "2024"): (0.0, 0), ("unknown", "2025"): (1.0, 1), ("unknown", "all"): (1.0, 1)}
 
@@ -241,10 +250,26 @@ def test_cube_rules(spark):
 def test_options_are_gated(spark):
     df = spark.range(30).select(F.col("id").cast("string").alias("a"), (F.col("id") % 3).cast("string").alias("b"), F.lit("r").alias("recipient_name"), F.lit(1.0).alias("federal_action_obligation"))
     assert {r.field for r in cubes.filter_options(df, ["a", "b", "recipient_name", "missing"], most=10).collect()} == {"b"}
-    assert cubes.live_options(df, "a", most=10).count() == 0 and cubes.live_options(df, "b", most=10).count() == 3
+    assert [tuple(r) for r in cubes.live_options(df, "nothing").collect()] == [(None, None, True)]
+    coded = df.withColumn("awarding_sub_agency_code", F.col("b")).withColumn("awarding_sub_agency_name", F.when(F.col("b") != "1", F.concat(F.lit("Office "), "b")))
+    labels = {r.value: r.label for r in cubes.filter_options(coded, ["awarding_sub_agency_code"]).collect()}
+    assert labels == {"0": "Office 0 (0)", "1": "1", "2": "Office 2 (2)"}
+    assert [tuple(r) for r in cubes.live_options(df, "a", most=10).collect()] == [(None, None, True)] and cubes.live_options(df, "b", most=10).count() == 3
 
 
 def test_null_keys_join(spark):
     a = spark.createDataFrame([("x", 1), (None, 2)], "g string, m int")
     b = spark.createDataFrame([(None, 5), ("y", 6)], "g string, n int")
     assert sorted(((r.g or "", r.m, r.n) for r in table.metric_join([a, b], ["g"]).collect())) == [("", 2, 5), ("x", 1, None), ("y", None, 6)]
+
+
+def test_refresh_resumes(spark):
+    files = spark.createDataFrame([("contracts/2024/001", "e1"), ("contracts/2024/002", "e2"), ("contracts/2024/003", "e3")], "logical_id string, etag string").withColumns({"kind": F.lit("Full"), "datestamp": F.lit("20261006")})
+    known = spark.createDataFrame([("contracts/2024/003", "e3", "20260906", 7, 4)], "logical_id string, etag string, datestamp string, row_count long, parquet_bytes long")
+    rows = spark.createDataFrame([("contracts/2024/001", 1), ("contracts/2024/001", 2), ("contracts/2024/003", 3)], "logical_id string, x int")
+    new, after = refreshed(rows, files, known)
+    assert sorted(r.x for r in new.collect()) == [1, 2]
+    assert {(r.logical_id, r.etag, r.datestamp, r.row_count) for r in after.collect()} == {("contracts/2024/001", "e1", "20261006", 2), ("contracts/2024/003", "e3", "20260906", 7)}
+    # what has not landed is taken up by the next call; a file without rows may be named
+    _, again = refreshed(spark.createDataFrame([], rows.schema), files, after, landed=files.where("logical_id LIKE '%/002'"))
+    assert {r.logical_id: r.row_count for r in again.collect()} == {"contracts/2024/001": 2, "contracts/2024/002": 0, "contracts/2024/003": 7}
