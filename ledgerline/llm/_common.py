@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Bytes of one side of a join that may be broadcast; larger sides are shuffled.
 BROADCAST_BYTES = 8 << 20
 #: Entries that a worker's cache of word hashes holds before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +39,11 @@ def small_or_shuffled(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def in_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts go to Python workers in Arrow batches of so many rows; the session's setting, as plans read it when they are made."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def set_aside(docs: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
     """docs with its columns of these names (in any case) under new ones, and the way back for withColumnsRenamed."""
     taken, back = {c.lower() for c in docs.columns} | names, {}

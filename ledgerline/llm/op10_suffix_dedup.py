@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import texts
+from ledgerline.llm._common import in_batches, texts
 
 GRAM = 32
 #: Bytes of text hashed at a time, and bytes of a shard's suffix array.
@@ -361,6 +361,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     rows of one doc_id and different texts are ordered by a hash of the text; null doc_ids come before all others; an
     empty table gives an empty result; other columns are not read.
     """
+    in_batches(docs.sparkSession, 10_000)  # equal contexts of a batch travel once
     rows = _keyed(docs)  # both joins below read the same exchange of these
     count = F.count("*").over(Window.partitionBy("least", "salt"))
     found = _anchors(rows, length).withColumn("known", F.col("known") | (count > 1)).where("known")

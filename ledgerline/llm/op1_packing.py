@@ -16,10 +16,10 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import stored, texts
+from ledgerline.llm._common import in_batches, stored, texts
 
 #: Words of which a worker keeps the token ids; then it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000
 #: Token ids of words by vocabulary, kept by a worker from task to task.
 KNOWN: dict[str, dict[bytes, bytes]] = {}
 #: Parts in which the pieces of one length are numbered, so that a hot length is no single task.
@@ -236,6 +236,7 @@ def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
     are cut. Defined results: null or empty texts are one piece that holds the final id 0; rows that repeat a doc_id are
     packed each; a null doc_id stays null; an empty table gives an empty result; other columns are not read.
     """
+    in_batches(docs.sparkSession)
     pieces = stored(tokenised(docs, vocabulary, capacity), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most capacity rows
     table = pieces.sparkSession.createDataFrame(slots(solved(counts, capacity)), "length long, first long, last long, base long, each long, at long")

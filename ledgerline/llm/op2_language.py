@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import stored, texts
+from ledgerline.llm._common import in_batches, stored, texts
 
 BITS, BLOCK = 12, 1 << 19
 #: Labelled rows of each language that are fitted on, by hash order.
@@ -236,6 +236,7 @@ def identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Data
     others in its family is decided by the family alone; rows with a null doc_id are not held out; repeated rows are
     predicted alike; an empty table gives an empty result; other columns are not read.
     """
+    in_batches(docs.sparkSession)
     rows = docs.selectExpr("CAST(doc_id AS BIGINT) doc_id", "text", "lang", f"{HELD_OUT} held_out")
     return predicted(rows, fitted(rows.where("NOT held_out"), per_language), ["doc_id", "held_out"])
 
@@ -247,6 +248,7 @@ def in_known_language(docs: DataFrame, least: float = 0.25, per_language: int =
     texts without a letter, and those that no learned language explains as well as it does its own labelled rows that
     are held out (or its fitted ones, if none is).
     """
+    in_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     known = docs.where(f"NOT ({HELD_OUT})").select("doc_id", "text", "lang")
     held = docs.where(HELD_OUT).select("doc_id", "text", "lang")

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import WordHashes, components, shingles, small_or_shuffled, stored, texts
+from ledgerline.llm._common import WordHashes, components, in_batches, shingles, small_or_shuffled, stored, texts
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
 REGISTERS = BANDS * ROWS
@@ -209,6 +209,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     all of them; an empty table gives an empty result; columns other than doc_id and text are not read.
     A link of exactly the threshold is missed with a chance of about 1e-7 (BANDS of ROWS registers).
     """
+    in_batches(docs.sparkSession)
     sig = stored(signed(docs, k), "signatures")
     known = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")

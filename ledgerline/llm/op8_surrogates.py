@@ -18,7 +18,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm._common import BROADCAST_BYTES, small_or_shuffled, stored
+from ledgerline.llm._common import BROADCAST_BYTES, in_batches, small_or_shuffled, stored
 
 #: The last round without a widened format.
 LAST_NARROW = 1
@@ -255,6 +255,7 @@ def pseudonymised(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text")
+    in_batches(docs.sparkSession)
     known = stored(found_entities(rows), "entities")
     again = stored(rounds(known, key), "rounds")
 
