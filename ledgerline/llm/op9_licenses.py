@@ -206,7 +206,8 @@ def licensed(docs: DataFrame) -> DataFrame:
     two = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1)))
     hinted = lines.where(n > 1).select("doc_id", "th", "pos", "words", F.explode(two).alias("pair"))
     hint = spark.createDataFrame([(g,) for g in pairs if len(set(g.split()) - {"the", "of", "and", "to", "in", "is", "a", "or", "for", "be", "at", "as", "by", "on", "with", "this", "that"}) > 0], "pair string")
-    hinted = hinted.join(F.broadcast(hint), "pair", "left_semi").select("doc_id", "th", "pos", "words").distinct()
+    # dealt by paragraph: what follows stays where it is
+    hinted = hinted.join(F.broadcast(hint), "pair", "left_semi").groupBy("doc_id", "th", "pos").agg(F.first("words").alias("words"))
 
     # a window of a paragraph has its number, the whole paragraph 0
 
