@@ -206,11 +206,11 @@ def a13_flat_snapshot(spark, sf_dir):
 
 
 @query(f"""SELECT slug, period, label, obligations FROM (SELECT *, row_number() OVER (PARTITION BY slug, period ORDER BY obligations DESC NULLS LAST, label) AS r FROM (
-SELECT trim(regexp_replace(lower(awarding_agency_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug, action_date_fiscal_year AS period, recipient_state_code AS label, round(coalesce(sum({OBL}), 0), 2) AS obligations
-FROM contracts WHERE recipient_state_code IS NOT NULL GROUP BY ALL)) WHERE r <= 15""", "contracts")
+SELECT trim(regexp_replace(lower(awarding_agency_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug, period, recipient_state_code AS label, round(coalesce(sum({OBL}), 0), 2) AS obligations
+FROM (SELECT *, unnest([action_date_fiscal_year, 'all']) AS period FROM contracts) WHERE recipient_state_code IS NOT NULL GROUP BY ALL)) WHERE r <= 15""", "contracts")
 def a14_cube_sink(contracts, spark, sf_dir):
     target = scratch(spark, "cube")
-    rows = cubes.agency_breakdown(contracts, CONTRACTS, "state").where("period <> 'all'").withColumn("slug", fields.slug(F.col("agency"))).drop("agency")
+    rows = cubes.agency_breakdown(contracts, CONTRACTS, "state").withColumn("slug", fields.slug(F.col("agency"))).drop("agency")
     archive.write_cube(rows, target, "slug")
     schema = "period string, rows array<struct<rank: int, label: string, obligations: double, transactions: bigint>>, slug string"
     return spark.read.schema(schema).json(target).select("slug", "period", F.explode("rows").alias("x")).select("slug", "period", "x.label", "x.obligations")
@@ -402,9 +402,9 @@ def b25_nan_to_null(spark, sf_dir):
     return _base(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("line")).agg(F.count(fields.nan_to_null(x)).alias("numbers"), F.count("*").alias("n"))
 
 
-@query(f"SELECT {', '.join(CONTRACTS.detail)} FROM contracts WHERE {IN_A} AND extent_competed = 'A'", "contracts")
+@query(f"SELECT {', '.join(CONTRACTS.detail)} FROM contracts", "contracts")
 def b26_detail_columns(contracts):
-    return contracts.where(fields.period_mask(contracts, A) & (F.col("extent_competed") == "A")).select(*CONTRACTS.detail)
+    return contracts.select(*CONTRACTS.detail)
 
 
 @query("SELECT column_name AS field, replace(column_name, '_', ' ') AS label FROM (SELECT unnest(json_keys(to_json(c))) AS column_name FROM (SELECT contracts AS c FROM contracts LIMIT 1))", "contracts")
@@ -431,9 +431,9 @@ def b30_disaster_codes(spark, sf_dir):
     return refdata.disaster_codes(_base(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("disaster"), F.substring("n_name", 1, 2).alias("code")))
 
 
-@query("SELECT * EXCLUDE (recipient_zip_4_code, transaction_number) FROM contracts WHERE action_date_fiscal_year = '1995' AND extent_competed = 'R'", "contracts")
+@query("SELECT * EXCLUDE (recipient_zip_4_code, transaction_number) FROM contracts", "contracts")
 def b31_drop_helpers(contracts):
-    return contracts.where("action_date_fiscal_year = '1995' AND extent_competed = 'R'").drop("recipient_zip_4_code", "transaction_number")
+    return contracts.drop("recipient_zip_4_code", "transaction_number")
 
 
 @query("SELECT DISTINCT naics_description AS label FROM contracts WHERE contains(lower(naics_description), 'omo') ORDER BY 1 LIMIT 200", "contracts")
@@ -687,9 +687,9 @@ def c30_row_counts(dictionary, spark, sf_dir):
 # --- joins
 
 
-@query(f"SELECT recipient_state_code AS g, round(sum({OBL}), 2) AS obligations, count(CASE WHEN {IN_A} THEN 1 END) AS n FROM contracts WHERE {IN_A} OR extent_competed = 'A' GROUP BY 1 HAVING count(*) > 0", "contracts")
+@query(f"SELECT recipient_state_code AS g, round(sum({OBL}), 2) AS obligations, count(CASE WHEN {IN_A} THEN 1 END) AS n FROM contracts GROUP BY 1", "contracts")
 def d01_metric_join(contracts):
-    rows = contracts.where(fields.period_mask(contracts, A) | (F.col("extent_competed") == "A")).withColumnRenamed("recipient_state_code", "g")
+    rows = contracts.withColumnRenamed("recipient_state_code", "g")
     first = rows.groupBy("g").agg(F.round(F.sum(OBL), 2).alias("obligations"))
     second = rows.groupBy("g").agg(F.count(F.when(fields.period_mask(rows, A), 1)).alias("n"))
     return table.metric_join([first, second], ["g"])
@@ -817,12 +817,12 @@ def g02_union_by_name(contracts, assistance):
     return contracts.unionByName(assistance, allowMissingColumns=True).agg(F.count("*").alias("n"), F.count("cfda_number").alias("cfda"), F.count("naics_code").alias("naics"))
 
 
-_ASSISTANCE_ONLY = ["assistance_award_unique_key", "assistance_transaction_unique_key", "award_id_fain", "recipient_zip_code", "cfda_number", "assistance_type_code"]
+_NAMES_OF = "SELECT unnest(json_keys(to_json(x))) AS column_name FROM (SELECT {0} AS x FROM {0} LIMIT 1)"
 
 
-@query("SELECT 'added' AS side, unnest([" + ", ".join(f"'{c}'" for c in _ASSISTANCE_ONLY) + "]) AS column_name", "assistance")
-def g03_column_difference(assistance, spark, sf_dir):
-    return guards.column_difference(view(spark, sf_dir, "contracts"), assistance).where("side = 'added'")
+@query(" UNION ALL ".join(f"SELECT '{side}' AS side, column_name FROM ({_NAMES_OF.format(own)}) WHERE column_name NOT IN (SELECT column_name FROM ({_NAMES_OF.format(other)}))" for side, own, other in (("added", "assistance", "contracts"), ("gone", "contracts", "assistance"))), "contracts", "assistance")
+def g03_column_difference(contracts, assistance):
+    return guards.column_difference(contracts, assistance)
 
 
 @query("SELECT DISTINCT naics_code AS value FROM contracts", "contracts")
