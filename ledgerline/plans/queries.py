@@ -886,6 +886,22 @@ def i03_cube_integrity(spark, sf_dir):
     return guards.cube_checks(cubes.trend(contracts), cubes.breakdown(contracts, CONTRACTS, "state"), kpis.select("slug").distinct(), outputs)
 
 
+@query(f"""SELECT * FROM (WITH b AS (SELECT DISTINCT unnest([{_FY}, 'all']) AS period, recipient_state_code AS label FROM contracts WHERE {_FY} IS NOT NULL AND recipient_state_code IS NOT NULL),
+f AS (SELECT DISTINCT {_FY} AS fy, awarding_agency_name AS agency FROM contracts)
+SELECT 'kpi periods are years or all' AS name, count(DISTINCT fy) AS violations FROM f WHERE fy = '1996' UNION ALL SELECT 'one kpi row a period', count(DISTINCT fy) FROM f WHERE fy = '1995' UNION ALL
+SELECT 'kpis have an all row', 1 UNION ALL SELECT 'breakdown periods are those of kpis', count(*) FROM b WHERE period IN ('1996', 'all') UNION ALL
+SELECT 'amounts are finite', count(*) FROM b WHERE label IN ('NATION_6', 'NATION_7') UNION ALL SELECT 'counts are not negative', count(*) FROM b WHERE label = 'NATION_12' UNION ALL
+SELECT 'listed agencies have outputs', count(DISTINCT agency) FROM f WHERE agency = 'MACHINERY' UNION ALL SELECT 'outputs are of listed agencies', count(DISTINCT agency) FROM f WHERE agency = 'BUILDING')""", "contracts")
+def i03b_broken_cube(contracts):
+    """Every check finds what is broken: a renamed, a repeated and a missing period, amounts and counts out of range, agencies left out."""
+    kpis = cubes.trend(contracts).where("period <> 'all'").withColumn("period", F.when(F.col("period") == "1996", "FY96").otherwise(F.col("period")))
+    rows = cubes.breakdown(contracts, CONTRACTS, "state")
+    amount = F.expr("CASE label WHEN 'NATION_6' THEN double('inf') WHEN 'NATION_7' THEN NULL ELSE obligations END")
+    rows = rows.withColumns({"obligations": amount, "transactions": F.expr("if(label = 'NATION_12', -transactions, transactions)")})
+    slugs = cubes.agency_kpis(contracts).select("slug").distinct()
+    return guards.cube_checks(kpis.unionByName(kpis.where("period = '1995'")), rows, slugs.where("slug <> 'building'"), slugs.where("slug <> 'machinery'"))
+
+
 @query(f"SELECT {_FY} AS fiscal_year, count(*) AS all_rows, count(*) AS agency_rows, 2 * count(*) AS unfiltered_rows FROM contracts WHERE {_FY} < '1996' GROUP BY 1 UNION ALL SELECT {_FY}, 0, count(*), count(*) FROM contracts WHERE {_FY} >= '1996' GROUP BY 1", "contracts")
 def i04_double_count(contracts, spark, sf_dir):
     rows = spark.read.option("mergeSchema", True).parquet(_raw_layer(contracts, spark, with_all=True))
