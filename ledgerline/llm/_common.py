@@ -34,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Delete the files of a stored frame that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def small_or_shuffled(df: DataFrame, row_bytes: int) -> DataFrame:
     """df with a broadcast hint if its counted rows fit in BROADCAST_BYTES; else as it is, so that the join shuffles."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
