@@ -73,6 +73,12 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_documents(spark, sf_dir), 100).drop("kept")
 
 
+def op11_gated_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.op11_gated_scoring import log_likelihoods
+
+    return log_likelihoods(_documents(spark, sf_dir))
+
+
 def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.op12_heap_clustering import clustered
 
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_surrogates,
         op9_licenses,
         op10_suffix_repeats,
+        op11_gated_likelihood,
         op12_heap_clusters,
         op13_fill_in_middle,
     )
