@@ -12,7 +12,7 @@ from ledgerline.functions.fields import ASSISTANCE, CONTRACTS
 from ledgerline.operators import cubes, guards, manifest, refdata, summary, table
 from ledgerline.operators.table import TableRequest, build_table
 from ledgerline.plans.views import oracle, view
-from ledgerline.sources import archive
+from ledgerline.sources import archive, slices
 from ledgerline.sources.scratch import scratch
 from ledgerline.streaming.refresh import refreshed, stream_refresh
 
@@ -841,19 +841,32 @@ def h01_incremental_refresh(listing, manifest_, spark, sf_dir):
     return refreshed(lines, manifest.parse_listing(listing), manifest_)[1]
 
 
-@query(f"SELECT action_date_fiscal_year AS fiscal_year, count(*) AS n_rows, round(sum({OBL}), 2) AS obligations FROM contracts GROUP BY 1", "contracts")
-def h01b_stream_refresh(contracts, spark, sf_dir):
-    """New CSV files are taken up once by an availableNow stream; a second call finds nothing."""
-    root, folder = scratch(spark, "stream-raw"), scratch(spark, "stream-csv")
-    columns = ["contract_transaction_unique_key", "action_date", OBL, "awarding_agency_name"]
-    archive.write_csv(contracts.select(*columns), folder)
+_AGENCY = "lpad(CAST(length(awarding_agency_name) AS VARCHAR), 3, '0')"
 
-    def slices(rows: DataFrame) -> DataFrame:
-        return casting.typed(rows).withColumns({"fiscal_year": fields.fiscal_year(F.col("action_date")), "agency": F.lpad(F.length("awarding_agency_name").cast("string"), 3, "0")})
 
-    for _ in range(2):
-        stream_refresh(spark, folder, ", ".join(f"{c} string" for c in columns), root, f"{root}-checkpoint", slices)
-    return _years(archive.read_raw(spark, root))
+@query(f"""SELECT fiscal_year, agency, cycle, count(*) AS n_rows, round(sum({OBL}), 2) AS obligations, count(*) AS manifest_rows, min(etag) AS etag FROM (
+SELECT {_FY} AS fiscal_year, {_AGENCY} AS agency, {OBL}, CASE WHEN {_FY} = '1995' THEN '20261106' ELSE '20261006' END AS cycle, CASE WHEN {_FY} = '1995' THEN md5({_AGENCY}) END AS etag
+FROM contracts WHERE NOT ({_FY} = '1995' AND transaction_number = '1')) GROUP BY ALL""", "contracts")
+def h01b_stream_refresh(contracts, spark, sf_dir):
+    """Slices whose files come in two calls keep both; a newer cycle replaces a year; a call that reads all files again,
+    as its checkpoint is lost, changes nothing; the manifest says what is live."""
+    root, folder = scratch(spark, "stream-slices"), scratch(spark, "stream-csv")
+    columns = ["contract_transaction_unique_key", "action_date", OBL, "awarding_agency_name"]
+    agency = F.lpad(F.length("awarding_agency_name").cast("string"), 3, "0")
+    listing = contracts.where(f"{_FY} = '1995'").select(agency.alias("a")).distinct().select(F.concat(F.lit("contracts/1995/"), "a").alias("logical_id"), F.lit("20261106").alias("datestamp"), F.md5("a").alias("etag"))
+
+    def land(rows: DataFrame, cycle: str, checkpoint: str) -> None:
+        key = F.concat(F.lit("FY"), _FY, F.lit("_"), agency, F.lit(f"_Contracts_Full_{cycle}"))
+        rows.select(*columns, key.alias("key")).write.mode("append").partitionBy("key").options(header=True, escape='"').csv(folder)
+        stream_refresh(spark, folder, ", ".join(f"{c} string" for c in columns), root, f"{root}-{checkpoint}", listing=listing)
+
+    land(contracts.where("transaction_number IN ('1', '2')"), "20261006", "first")
+    land(contracts.where("transaction_number NOT IN ('1', '2')"), "20261006", "first")
+    land(contracts.where(f"{_FY} = '1995' AND transaction_number <> '1'"), "20261106", "first")
+    stream_refresh(spark, folder, ", ".join(f"{c} string" for c in columns), root, f"{root}-second", listing=listing)
+    rows = slices.read_live(spark, root).groupBy("fiscal_year", "agency", "cycle").agg(F.count("*").alias("n_rows"), F.round(F.sum(OBL), 2).alias("obligations"))
+    told = slices.manifest(spark, root).select(F.split("logical_id", "/")[1].alias("fiscal_year"), F.split("logical_id", "/")[2].alias("agency"), F.col("row_count").alias("manifest_rows"), "etag")
+    return rows.join(told, ["fiscal_year", "agency"], "left")
 
 
 def _old_and_new(contracts: DataFrame) -> tuple[DataFrame, DataFrame]:

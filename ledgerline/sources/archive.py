@@ -108,7 +108,7 @@ def write_raw(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", MOST_ROWS).partitionBy("fiscal_year", "agency").parquet(root)
 
 
-def _as_text(spark: SparkSession, root: str) -> DataFrame:
+def partitioned_text(spark: SparkSession, root: str) -> DataFrame:
     """A partitioned tree, drifting columns united by name, partition values as text whatever the session infers (097 stays 097)."""
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key)
@@ -121,7 +121,7 @@ def _as_text(spark: SparkSession, root: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, root: str, mode: str = "per_agency", fiscal_year: str | None = None) -> DataFrame:
     """The raw layer without double counting: agencies' slices, All slices, or All where a year has one (prefer_all)."""
-    df = _as_text(spark, root)
+    df = partitioned_text(spark, root)
     if fiscal_year is not None:
         df = df.where(F.col("fiscal_year") == fiscal_year)
     if mode == "per_agency":
@@ -152,7 +152,7 @@ def write_serve(df: DataFrame, root: str, sort: str | None = None) -> None:
 
 def read_serve(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The serve layer of a dataset; unknown names are errors before anything is read."""
-    return _as_text(spark, f"{root}/{dataset(name).name}")
+    return partitioned_text(spark, f"{root}/{dataset(name).name}")
 
 
 def tree(spark: SparkSession, root: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ledgerline.functions.casting import typed
 from ledgerline.functions.fields import id_parts
 from ledgerline.operators.manifest import changed, upserted
+from ledgerline.sources import slices
 from ledgerline.sources.archive import write_raw
 
 
@@ -39,16 +40,19 @@ def refresh(rows: DataFrame, files: DataFrame, manifest: DataFrame, root: str, s
     save(after)
 
 
-def stream_refresh(spark: SparkSession, folder: str, schema: StructType | str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = typed) -> None:
-    """Takes up all CSV files that are new in a folder since the last call, typed, into the raw layer; the checkpoint is what resumes.
+def stream_refresh(spark: SparkSession, folder: str, schema: StructType | str, root: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = typed, listing: DataFrame | None = None) -> None:
+    """Takes up all CSV files that are new in a folder since the last call, typed, as slices under root; see sources.slices.
 
-    A file's slices replace what the raw layer has of them. Files are immutable: an archive cycle writes new names.
+    A file's slice and archive cycle are in its path, in the archive's form of names: files of one cycle add up, a newer
+    cycle replaces the older, Deltas are no slices. Each batch is committed with its manifest entries, etags from listing.
+    The checkpoint saves reading files again; without it they are read and change nothing. Files are immutable.
     """
-    rows = spark.readStream.schema(schema).options(header=True, multiLine=True, escape='"').csv(folder)
-    query = (
-        rows.writeStream.foreachBatch(lambda batch, _: write_raw(transform(batch), root))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    rows = spark.readStream.schema(schema).options(header=True, multiLine=True, escape='"', recursiveFileLookup=True).csv(folder)
+
+    def publish(batch: DataFrame, _: int) -> None:
+        rows = batch.withColumns(slices.slice_columns(F.col("_file"))).where("kind = 'Full'").drop("_file", "kind")
+        slices.stage(transform(rows), root)
+        slices.commit(batch.sparkSession, root, listing)
+
+    query = rows.select("*", F.col("_metadata.file_path").alias("_file")).writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
