@@ -12,7 +12,7 @@ from ledgerline.functions.fields import ASSISTANCE, CONTRACTS
 from ledgerline.operators import cubes, guards, manifest, refdata, summary, table
 from ledgerline.operators.table import TableRequest, build_table
 from ledgerline.plans.views import oracle, view
-from ledgerline.sources import archive, slices
+from ledgerline.sources import archive, compaction, slices
 from ledgerline.sources.scratch import scratch
 from ledgerline.streaming.refresh import refreshed, stream_refresh
 
@@ -195,7 +195,16 @@ def a11_archive_listing(listing):
 def a12_file_summary(contracts, spark, sf_dir):
     target = scratch(spark, "summary")
     contracts.write.parquet(target)
-    return archive.file_summary(spark.read.parquet(target))
+    return archive.file_summary(spark, target)
+
+
+@query("SELECT action_date_fiscal_year AS fiscal_year, count(*) AS n_rows, min(action_date) AS min_date, max(action_date) AS max_date, 2 AS n_columns FROM contracts GROUP BY 1", "contracts")
+def a12b_summary_without_statistics(contracts, spark, sf_dir):
+    """Files whose writer left no statistics: the date column is scanned."""
+    target = scratch(spark, "summary")
+    rows = contracts.select("action_date", F.col("action_date_fiscal_year").alias("fiscal_year"))
+    rows.write.option("parquet.column.statistics.enabled", "false").partitionBy("fiscal_year").parquet(target)
+    return archive.file_summary(spark, target, ["fiscal_year"])
 
 
 @query("SELECT n_regionkey AS region, '[' || string_agg('\"' || n_name || '\"', ',' ORDER BY n_name) || ']' AS nations FROM nation GROUP BY 1")
@@ -886,6 +895,29 @@ def i01_replace_guard(contracts):
     return guards.compared(*_old_and_new(contracts), [_FY]).withColumn("problems", F.array_join("problems", "; "))
 
 
+def _manifest_of(raw: DataFrame) -> DataFrame:
+    return raw.groupBy(F.concat(F.lit("contracts/"), "fiscal_year", F.lit("/"), "agency").alias("logical_id")).agg(F.count("*").alias("row_count"))
+
+
+@query(f"""SELECT {_FY} AS fiscal_year, CASE WHEN {_FY} = '1993' THEN 'rows fall from ' || count(*) || ' to ' || count(CASE WHEN transaction_number NOT IN ('1', '2') THEN 1 END) ELSE '' END AS problems, {_FY} <> '1993' AS replaced,
+count(*) AS served_rows, round(sum(CASE WHEN {_FY} = '1995' THEN 2 * {OBL} ELSE {OBL} END), 2) AS obligations FROM contracts GROUP BY 1""", "contracts")
+def i01b_guarded_compaction(contracts, spark, sf_dir):
+    """Raw slices published twice. At first with re-published copies, which go, and All copies of some years; then 1995's
+    amounts are doubled, which is accepted, and 1993 loses a third of its rows, which is refused and leaves it as it was."""
+    raw, again, serve = scratch(spark, "raw"), scratch(spark, "raw"), scratch(spark, "serve")
+    rows = contracts.withColumns({"fiscal_year": F.col(_FY), "agency": F.lpad(F.length("awarding_agency_name").cast("string"), 3, "0")})
+    copies = rows.where("transaction_number = '3'").withColumns({"last_modified_date": F.lit("2026-11-03").cast("date"), "contract_transaction_unique_key": F.concat("contract_transaction_unique_key", F.lit("_R"))})
+    both = rows.unionByName(copies)
+    archive.write_raw(both.unionByName(both.where("fiscal_year < '1994'").withColumn("agency", F.lit("All"))), f"{raw}/contracts")
+    first = compaction.compact(spark, _manifest_of(archive.read_raw(spark, f"{raw}/contracts", "every")), raw, serve, "contracts")
+    assert first.where("NOT replaced").isEmpty()
+    twice = rows.withColumn(OBL, F.when(F.col("fiscal_year") == "1995", 2 * F.col(OBL)).otherwise(F.col(OBL)))
+    archive.write_raw(twice.where("NOT (fiscal_year = '1993' AND transaction_number IN ('1', '2'))"), f"{again}/contracts")
+    second = compaction.compact(spark, _manifest_of(archive.read_raw(spark, f"{again}/contracts", "every")), again, serve, "contracts")
+    served = archive.read_serve(spark, serve, "contracts").groupBy("fiscal_year").agg(F.count("*").alias("served_rows"), F.round(F.sum(OBL), 2).alias("obligations"))
+    return served.join(second.select("fiscal_year", F.array_join("problems", "; ").alias("problems"), "replaced"), "fiscal_year", "left")
+
+
 @query(f"""SELECT * FROM ({_OLD_NEW} SELECT o.fy AS action_date_fiscal_year, 'rows ' || o.n || ' -> ' || coalesce(CAST(n.n AS VARCHAR), '-') || ', new columns: added, dates ' || o.lo || '..' || o.hi || ' -> ' || n.lo || '..' || n.hi AS change FROM o JOIN n ON o.fy = n.fy)""", "contracts")
 def i02_change_described(contracts):
     return guards.described(*_old_and_new(contracts), [_FY])

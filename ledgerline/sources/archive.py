@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import typed
 from ledgerline.functions.fields import dataset
-from ledgerline.operators.manifest import slices
 
 #: Rows of a written file, at most.
 MOST_ROWS = 5_000_000
@@ -120,7 +119,10 @@ def partitioned_text(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, mode: str = "per_agency", fiscal_year: str | None = None) -> DataFrame:
-    """The raw layer without double counting: agencies' slices, All slices, or All where a year has one (prefer_all)."""
+    """The raw layer without double counting: agencies' slices, All slices, or All where a year has one (prefer_all).
+
+    every: all slices, which counts years that have an All slice twice.
+    """
     df = partitioned_text(spark, root)
     if fiscal_year is not None:
         df = df.where(F.col("fiscal_year") == fiscal_year)
@@ -128,6 +130,8 @@ def read_raw(spark: SparkSession, root: str, mode: str = "per_agency", fiscal_ye
         return df.where("agency <> 'All'")
     if mode == "all":
         return df.where("agency = 'All'")
+    if mode == "every":
+        return df
     if mode != "prefer_all":
         raise ValueError(f"unknown mode: {mode!r}")
     years = df.where("agency = 'All'").select(F.col("fiscal_year").alias("_y")).distinct()
@@ -135,11 +139,6 @@ def read_raw(spark: SparkSession, root: str, mode: str = "per_agency", fiscal_ye
     return whole.where("(agency = 'All') = (_y IS NOT NULL)").drop("_y")
 
 
-def slice_paths(manifest: DataFrame, root: str) -> list[str]:
-    """Folders of the manifest's slices that hold each year once."""
-    return [f"{root}/{r.product}/fiscal_year={r.fiscal_year}/agency={r.agency}" for r in slices(manifest).orderBy("logical_id").collect()]
-
-
 def write_serve(df: DataFrame, root: str, sort: str | None = None) -> None:
     """The serve layer: folders fiscal_year=, without the leftover agency; sorted by a column, row groups can be skipped.
 
@@ -162,10 +161,40 @@ def tree(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.regexp_replace("path", f"^.*?/{name}/", "").alias("path"), F.col("length").alias("bytes"))
 
 
-def file_summary(df: DataFrame, date: str = "action_date") -> DataFrame:
-    """Rows and first and last date: from Parquet footers where Spark may push the aggregates down, else one column's scan."""
+def _footers_only(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet under a path by the newer reader, which answers counts and least and greatest values from footers.
+
+    Its settings are those of a session of its own, so that the caller's stay as they are.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return own.read.option("mergeSchema", True).parquet(path)
+
+
+def _summed(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     lo, hi = (F.min(date), F.max(date)) if date in df.columns else (F.lit(None).cast("date"), F.lit(None).cast("date"))
-    return df.agg(F.count("*").alias("n_rows"), lo.alias("min_date"), hi.alias("max_date")).withColumn("n_columns", F.lit(len(df.columns)))
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), lo.alias("min_date"), hi.alias("max_date"))
+
+
+def file_summary(spark: SparkSession, path: str, keys: list[str] | None = None, date: str = "action_date") -> DataFrame:
+    """Rows, first and last date (NULL without such a column) and number of columns of Parquet files, per partition columns keys.
+
+    Only footers are read; where a file's date has no statistics, or it lacks the column, the columns are scanned instead.
+    A row a combination of keys passes through the driver.
+    """
+    keys = keys or []
+    df = _footers_only(spark, path)
+    try:
+        rows = _summed(df, keys, date).collect()
+    except Exception as e:
+        if "FAILED_READ_FILE" not in str(e):  # a footer without what is asked for; a broken file fails in the scan again
+            raise
+        df = partitioned_text(spark, path)
+        rows = _summed(df, keys, date).collect()
+    kinds = "".join(f"`{k}` string, " for k in keys)
+    return spark.createDataFrame(rows, f"{kinds}n_rows bigint, min_date date, max_date date").withColumn("n_columns", F.lit(len(df.columns)))
 
 
 def flat(df: DataFrame) -> DataFrame:
