@@ -152,28 +152,37 @@ def a09_sorted_compaction(contracts, spark, sf_dir):
     return _years(_serve(contracts, spark, "recipient_name"))
 
 
-@query("SELECT 'part.CSV' AS member, n_name AS nation, CAST(n_nationkey AS VARCHAR) AS key FROM nation")
+@query("""SELECT o_orderpriority AS priority, count(*) AS n_rows, count(DISTINCT o_orderkey) AS orders, round(sum(o_totalprice), 2) AS total, count(DISTINCT length(o_comment)) AS lengths, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS odd
+FROM (SELECT *, concat('"', o_clerk, '",', chr(10), o_orderkey) AS o_comment FROM (SELECT *, o_orderpriority AS o_clerk FROM orders)) GROUP BY 1""")
 def a10_zip_landing(spark, sf_dir):
-    """CSV members of ZIP archives made from the nations, one archive a region, in tasks."""
+    """ZIP archives of the orders, made in tasks, two members each with other headers and quoted line breaks: inflated in
+    pieces by the tasks, landed as files and read by column names."""
     root = scratch(spark, "zips")
 
     def pack(batches):
+        import csv
         import io
         import zipfile
 
         import pyarrow as pa
 
         for batch in batches:
-            out = io.BytesIO()
-            with zipfile.ZipFile(out, "w") as z:
-                z.writestr("part.CSV", "nation,key\n" + "".join(f'"{n}",{k}\n' for n, k in zip(batch.column("n_name").to_pylist(), batch.column("n_nationkey").to_pylist(), strict=True)))
+            rows, data = batch.to_pylist(), io.BytesIO()
+            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+                for odd, names in ((0, ["key", "priority", "price", "comment"]), (1, ["odd", "comment", "price", "priority", "key"])):
+                    out = io.StringIO()
+                    writer = csv.DictWriter(out, names, extrasaction="ignore", lineterminator="\n")
+                    writer.writeheader()
+                    writer.writerows(r | {"odd": 1, "comment": f'"{r["priority"]}",\n{r["key"]}'} for r in rows if r["key"] % 2 == odd)
+                    z.writestr(f"deep/part_{odd + 1}.CSV", out.getvalue())
                 z.writestr("readme.txt", "none")
-            yield pa.RecordBatch.from_pydict({"zip": [out.getvalue()]})
+            yield pa.RecordBatch.from_pydict({"path": [f"in/FY2024_{rows[0]['key']}_Contracts_Full_20261006.zip"], "content": [data.getvalue()]})
 
-    zips = _base(spark, sf_dir, "nation").select("n_name", "n_nationkey").repartition(3, "n_nationkey").mapInArrow(pack, "zip binary")
-    zips.write.parquet(root)
-    members = spark.read.parquet(root).select(F.concat(F.lit("z"), F.md5("zip")).alias("path"), F.col("zip").alias("content"))
-    return archive.csv_rows(archive.unpacked(members)).select("member", F.col("record")["nation"].alias("nation"), F.col("record")["key"].alias("key"))
+    orders = _base(spark, sf_dir, "orders").selectExpr("o_orderkey key", "o_orderpriority priority", "o_totalprice price")
+    orders.mapInArrow(pack, "path string, content binary").write.parquet(f"{root}/zips")
+    folders = archive.landed(spark.read.parquet(f"{root}/zips"), f"{root}/csv", 10_000)
+    rows = archive.award_csv(spark, folders)
+    return rows.groupBy("priority").agg(F.count("*").alias("n_rows"), F.count_distinct("key").alias("orders"), F.round(F.sum(F.col("price").cast("double")), 2).alias("total"), F.count_distinct(F.length("comment")).alias("lengths"), F.count("odd").alias("odd"))
 
 
 _PARSED = """SELECT key, size, etag, regexp_extract(key, '^FY(\\d{4}|All)_([^_]+)_(Contracts|Assistance)_(Full|Delta)_(\\d{8})', 1) AS fiscal_year,

@@ -10,64 +10,117 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import typed
 from ledgerline.functions.fields import dataset
+from ledgerline.sources import files
 
 #: Rows of a written file, at most.
 MOST_ROWS = 5_000_000
+#: Bytes of a member of a ZIP that are inflated at once.
+PIECE = 1 << 20
 _CSV = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
 
 
-def unpacked(archives: DataFrame) -> DataFrame:
-    """Rows (archive, member, content) of every CSV member of ZIP archives (path, content), unpacked in tasks.
+def _pieces(content: bytes, size: int) -> Iterator[tuple[str, int, str]]:
+    """(member, number from 0, text without its last line end) of every CSV member of a ZIP, whole lines of about `size` bytes.
 
-    A row holds one member's bytes: archives are a few hundred MB at most, and a task takes them one after another.
+    A member is inflated as it is read: one piece is held, or one line if that is longer. A byte order mark at a member's
+    start goes, bytes that aren't UTF-8 become the replacement character, an empty member is one empty piece.
+    """
+    import codecs
+    import io
+    import zipfile
+
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        for info in z.infolist():
+            if info.is_dir() or not info.filename.lower().endswith(".csv"):
+                continue
+            decoder, rest, n = codecs.getincrementaldecoder("utf-8-sig")("replace"), [], 0
+            with z.open(info) as stream:
+                while chunk := stream.read(size):
+                    text = decoder.decode(chunk)
+                    end = text.rfind("\n")
+                    if end < 0:
+                        rest.append(text)
+                        continue
+                    yield info.filename, n, "".join(rest) + text[:end]
+                    rest, n = [text[end + 1 :]], n + 1
+            last = "".join(rest) + decoder.decode(b"", True)
+            if last or not n:
+                yield info.filename, n, last
+
+
+def unpacked(archives: DataFrame, size: int = PIECE) -> DataFrame:
+    """Rows (archive, member, n, text) of the CSV members of ZIP archives (path, content): pieces of whole lines, in order of n.
+
+    A task inflates its archives one after another, a piece at a time, so a member may be far larger than its memory.
     """
 
     def unpack(batches: Iterator) -> Iterator:
-        import io
-        import zipfile
-
         import pyarrow as pa
 
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        if name.lower().endswith(".csv"):
-                            yield pa.RecordBatch.from_pydict({"archive": [path], "member": [name], "content": [z.read(name)]})
+                for member, n, text in _pieces(content, size):
+                    yield pa.RecordBatch.from_pydict({"archive": [path], "member": [member], "n": pa.array([n], pa.int32()), "text": [text]})
+
+    return archives.select("path", "content").mapInArrow(unpack, "archive string, member string, n int, text string")
+
+
+def landed(archives: DataFrame, target: str, size: int = PIECE) -> list[str]:
+    """Write the CSV members of ZIP archives (path, content) under target as files, and name their folders.
+
+    A member is one file target/<archive's name without .zip>/<member>/part-*, in its order and with its lines, so that a
+    name in the archive's form stays in the path. Members are written by the tasks that inflate them.
+    """
+    spark = archives.sparkSession
+    stem = F.regexp_replace(F.element_at(F.split("archive", "/"), -1), r"(?i)\.zip\z", "")
+    # without nulls, so that the writer takes the order as it is and sorts no more
+    names = [F.coalesce(c, F.lit("")).alias(n) for n, c in (("archive", stem), ("member", F.col("member")))]
+    rows = unpacked(archives, size).select(*names, "n", "text").sortWithinPartitions("archive", "member", "n")
+    rows.drop("n").write.mode("append").partitionBy("archive", "member").text(target)
+    return [f"{target}/{a}/{m}" for a in files.folders(spark, target) for m in files.folders(spark, f"{target}/{a}")]
+
 
-    return archives.select("path", "content").mapInArrow(unpack, "archive string, member string, content binary")
+def zips(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (path, content) of the ZIPs in a folder and below it. A ZIP is one value, of 2 GB at most; its members may be larger."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").option("recursiveFileLookup", True)
+    return found.load(folder).select("path", "content")
 
 
 def unzipped(spark: SparkSession, folder: str) -> DataFrame:
     """unpacked of the ZIPs in a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True)
-    return unpacked(files.load(folder))
+    return unpacked(zips(spark, folder))
 
 
 def csv_rows(members: DataFrame) -> DataFrame:
-    """Rows (archive, member, values map) of CSV members: for archives that are not laid down as files first."""
+    """Rows (archive, member, record map) of unpacked CSV members, parsed piece by piece: for archives that are not laid down as files."""
 
     def parse(batches: Iterator) -> Iterator:
         import csv
-        import io
+        from itertools import groupby
 
         import pyarrow as pa
 
-        for batch in batches:
-            for archive, member, content in zip(*(batch.column(c).to_pylist() for c in ("archive", "member", "content")), strict=True):
-                reader, rows = csv.DictReader(io.StringIO(content.decode("utf-8-sig"), newline="")), []
-
-                def told(rows: list) -> pa.RecordBatch:
-                    n = len(rows)
-                    return pa.RecordBatch.from_arrays([pa.array([archive] * n), pa.array([member] * n), pa.array(rows, pa.map_(pa.string(), pa.string()))], ["archive", "member", "record"])
-
-                for row in reader:
-                    rows.append([(k, v or None) for k, v in row.items() if k is not None])
-                    if len(rows) >= 5000:
-                        yield told(rows)
-                        rows = []
-                if rows:
+        def pieces() -> Iterator[tuple]:
+            at = 0
+            for batch in batches:
+                for archive, member, n, text in zip(*(batch.column(c).to_pylist() for c in ("archive", "member", "n", "text")), strict=True):
+                    at += n == 0
+                    yield (at, archive, member), text
+
+        for (_, archive, member), own in groupby(pieces(), lambda x: x[0]):
+            rows = []
+
+            def told(rows: list) -> pa.RecordBatch:
+                n = len(rows)
+                return pa.RecordBatch.from_arrays([pa.array([archive] * n), pa.array([member] * n), pa.array(rows, pa.map_(pa.string(), pa.string()))], ["archive", "member", "record"])
+
+            for row in csv.DictReader(line for _, text in own for line in (text + "\n").splitlines(keepends=True)):
+                rows.append([(k, v or None) for k, v in row.items() if k is not None])
+                if len(rows) >= 5000:
                     yield told(rows)
+                    rows = []
+            if rows:
+                yield told(rows)
 
     return members.mapInArrow(parse, "archive string, member string, record map<string, string>")
 
