@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import quoted
-from ledgerline.functions.fields import DatasetSpec, county_fips, county_label, obligation, option_label, or_unknown, slug, zip5
+from ledgerline.functions.fields import ALIASES, DIMENSIONS, DatasetSpec, county_fips, county_label, obligation, option_label, or_unknown, resolve, slug, zip5
 
 YEAR = "action_date_fiscal_year"
 TOP, TOP_BY_AGENCY = 25, 15
 #: Values up to which a field has a list of options; computed ahead, and live.
 MOST_OPTIONS, MOST_LIVE = 10_000, 400
 #: Fields that are known to have more values than any list may hold, never scanned.
-SEARCHED_ONLY = {"recipient_name", "recipient_parent_name", "recipient_uei"}
+SEARCHED_ONLY = {"recipient", "recipient_parent", "recipient_name", "recipient_parent_name", "recipient_uei"}
+#: Relative error of the sketches of how many values a field has.
+SKETCH_ERROR = 0.02
 # Dimensions in which agencies are broken down, and the name columns of code fields.
 BY_AGENCY = ("recipient", "recipient_parent", "state", "county", "zip", "naics", "psc", "competition", "set_aside", "assistance_type", "cfda", "business_size")
 CODE_NAMES = {"funding_sub_agency_code": "funding_sub_agency_name", "awarding_sub_agency_code": "awarding_sub_agency_name"}
@@ -39,10 +41,15 @@ def trend(df: DataFrame) -> DataFrame:
     return both.where("_all = 1 OR fy IS NOT NULL").select(F.when(F.col("_all") == 1, "all").otherwise(F.col("fy")).alias("period"), "obligations", "transactions")
 
 
+def _series(df: DataFrame) -> DataFrame:
+    """Unrounded sums (o, n) by year, agency and sub-agency, blanks as (unknown); without rows that have no year."""
+    rows = _slim(df, fy=quoted(YEAR), agency=or_unknown(F.col("awarding_agency_name")), subagency=or_unknown(F.col("awarding_sub_agency_name")))
+    return rows.where("fy IS NOT NULL").groupBy("fy", "agency", "subagency").agg(F.coalesce(F.sum("_obl"), F.lit(0.0)).alias("o"), F.count("*").alias("n"))
+
+
 def timeseries(df: DataFrame) -> DataFrame:
     """Year, agency and sub-agency, blanks as (unknown); without rows that have no year."""
-    rows = _slim(df, fy=quoted(YEAR), agency=or_unknown(F.col("awarding_agency_name")), subagency=or_unknown(F.col("awarding_sub_agency_name")))
-    return rows.where("fy IS NOT NULL").groupBy("fy", "agency", "subagency").agg(*_sums(df))
+    return _series(df).select("fy", "agency", "subagency", F.round("o", 2).alias("obligations"), F.col("n").alias("transactions"))
 
 
 def _ranked(df: DataFrame, group: list[str], n: int | None) -> DataFrame:
@@ -82,7 +89,7 @@ def agency_breakdown(df: DataFrame, spec: DatasetSpec, key: str, n: int = TOP_BY
 
 def agency_kpis(df: DataFrame) -> DataFrame:
     """KPIs of every agency for every year, zeros where it has none, and `all` of its years: (agency, slug, period, ...)."""
-    cube = timeseries(df).groupBy("agency", "fy").agg(F.sum("obligations").alias("o"), F.sum("transactions").alias("n"))
+    cube = _series(df).groupBy("agency", "fy").agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
     # both sides are names and years: a few rows each
     grid = cube.select("agency").distinct().crossJoin(cube.select("fy").distinct())
     full = grid.join(cube, ["agency", "fy"], "left").select("agency", F.col("fy").alias("period"), F.coalesce("o", F.lit(0.0)).alias("o"), F.coalesce("n", F.lit(0)).alias("n"))
@@ -97,22 +104,47 @@ def county_names(df: DataFrame) -> DataFrame:
     return one.select("fips", "county", "state", county_label(F.col("county"), F.col("state")).alias("label"))
 
 
-def filter_options(df: DataFrame, fields: list[str], most: int = MOST_OPTIONS) -> DataFrame:
+def _with_smallest(sums: DataFrame, group: list[str], text: str) -> DataFrame:
+    """Sums (group.., text, o, n) put together by group, with the group's smallest text. Least texts by aggregation would sort raw rows."""
+    own = Window.partitionBy(*group)
+    first = F.row_number().over(own.orderBy(F.asc_nulls_last(text)))
+    both = sums.withColumns({"_o": F.sum("o").over(own), "_c": F.sum("n").over(own), "_n": first}).where("_n = 1")
+    return both.select(*group, text, F.col("_o").alias("o"), F.col("_c").alias("n"))
+
+
+def filter_candidates(df: DataFrame) -> list[str]:
+    """The dimensions, coded fields and further codes that may have a list of options, those that df lacks left out."""
+    names = [*DIMENSIONS, *ALIASES]
+    return [n for n in names if n not in SEARCHED_ONLY and (DIMENSIONS.get(n) or ALIASES[n]) in df.columns]
+
+
+def filter_options(df: DataFrame, fields: list[str] | None = None, most: int = MOST_OPTIONS) -> DataFrame:
     """Values of each field by obligations, of fields with at most `most` values: (field, value, label, obligations, rank).
 
-    Codes with a name column (CODE_NAMES) are labelled `name (code)`, with the smallest name where there are several; other
-    values are their own labels. All fields are counted in one pass over the rows; fields that only are searched, and those
-    that are not there, are left out.
+    fields: dimensions, aliases or columns; filter_candidates if not given. Codes with a name column (CODE_NAMES) are
+    labelled `name (code)`, with the smallest name where there are several; other values are their own labels. Fields that
+    only are searched, and those that are not there, are left out. A first pass sketches how many values each field has, so
+    that the values of fields far beyond `most` are never shuffled; those that are left are counted exactly, all in one pass.
     """
-    own = [f for f in fields if f not in SEARCHED_ONLY and f in df.columns]
-    name = {f: quoted(CODE_NAMES[f]).cast("string") if CODE_NAMES.get(f) in df.columns else F.lit(None).cast("string") for f in own}
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), quoted(f).cast("string").alias("value"), name[f].alias("name")) for f in own])
+    own = {f: resolve(df, f) for f in (filter_candidates(df) if fields is None else fields) if f not in SEARCHED_ONLY and (DIMENSIONS.get(f) or ALIASES.get(f) or f) in df.columns}
+    own = {f: c.cast("string") for f, c in own.items() if c is not None}
+    none = df.sparkSession.createDataFrame([], "field string, value string, label string, obligations double, rank int")
+    if not own:
+        return none
+    sketch = df.agg(*[F.approx_count_distinct(c, SKETCH_ERROR).alias(f"f{i}") for i, c in enumerate(own.values())]).first()
+    kept = {f: c for i, (f, c) in enumerate(own.items()) if sketch[f"f{i}"] <= most * (1 + 10 * SKETCH_ERROR) + 10}
+    if not kept:
+        return none
+    of = {f: CODE_NAMES.get(DIMENSIONS.get(f) or ALIASES.get(f) or f) for f in kept}
+    name = {f: quoted(n).cast("string") if n in df.columns else F.lit(None).cast("string") for f, n in of.items()}
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), c.alias("value"), name[f].alias("name")) for f, c in kept.items()])
     rows = df.select(F.explode(pairs).alias("x"), obligation(df).alias("_obl")).select("x.*", "_obl").where("value IS NOT NULL")
-    sums = rows.groupBy("field", "value").agg(F.min("name").alias("name"), F.round(F.coalesce(F.sum("_obl"), F.lit(0.0)), 2).alias("obligations"))
-    sums = sums.select("field", "value", option_label(F.col("value"), F.col("name")).alias("label"), "obligations")
-    few = sums.groupBy("field").count().where(F.col("count") <= most).select("field")
+    sums = _with_smallest(rows.groupBy("field", "value", "name").agg(F.sum("_obl").alias("o"), F.count("*").alias("n")), ["field", "value"], "name")
+    sums = sums.select("field", "value", "name", F.round(F.coalesce("o", F.lit(0.0)), 2).alias("obligations"))
+    # after the sketches a field has a bounded number of values
+    sums = sums.withColumn("_values", F.count("*").over(Window.partitionBy("field"))).where(F.col("_values") <= most)
     order = Window.partitionBy("field").orderBy(F.desc("obligations"), "value")
-    return sums.join(F.broadcast(few), "field").withColumn("rank", F.row_number().over(order))
+    return sums.withColumn("rank", F.row_number().over(order)).select("field", "value", option_label(F.col("value"), F.col("name")).alias("label"), "obligations", "rank")
 
 
 def live_options(df: DataFrame, field: str, labels: DataFrame | None = None, most: int = MOST_LIVE) -> DataFrame:
@@ -140,9 +172,13 @@ def search(df: DataFrame, column: str, text: str, n: int = 200) -> DataFrame:
 
 
 def zip_summary(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Product, year, agency and ZIP: state, obligations, transactions."""
-    rows = _slim(df, fiscal_year=quoted(YEAR), agency=F.col("awarding_agency_name"), zip=zip5(quoted(spec.zip_column)), _state=F.col("recipient_state_code"))
-    sums = rows.groupBy("fiscal_year", "agency", "zip").agg(F.min("_state").alias("state"), F.round(F.sum("_obl"), 2).alias("obligations"), F.count("*").alias("transactions"))
+    """Product, year, agency and ZIP: smallest state, obligations, transactions.
+
+    Grouped with the state first, in hash tables; only those sums are sorted for a ZIP's smallest state.
+    """
+    rows = _slim(df, fiscal_year=quoted(YEAR), agency=F.col("awarding_agency_name"), zip=zip5(quoted(spec.zip_column)), state=F.col("recipient_state_code"))
+    states = rows.groupBy("fiscal_year", "agency", "zip", "state").agg(F.sum("_obl").alias("o"), F.count("*").alias("n"))
+    sums = _with_smallest(states, ["fiscal_year", "agency", "zip"], "state").select("fiscal_year", "agency", "zip", "state", F.round("o", 2).alias("obligations"), F.col("n").alias("transactions"))
     return sums.select(F.lit(spec.name).alias("product"), "*")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import casting, fields
 from ledgerline.functions.fields import ASSISTANCE, CONTRACTS
-from ledgerline.operators import cubes, guards, manifest, refdata, summary, table
+from ledgerline.operators import cubes, guards, manifest, refdata, summary, table, whole_cube
 from ledgerline.operators.table import TableRequest, build_table
 from ledgerline.plans.views import oracle, view
 from ledgerline.sources import archive, compaction, slices
@@ -562,6 +562,44 @@ def c11_agency_breakdown(contracts):
     return cubes.agency_breakdown(contracts, CONTRACTS, "naics")
 
 
+_DIM_SQL = {"county": FIPS, "zip": "nullif(substr({zip}, 1, 5), '')"}
+
+
+def _cube_sql(spec: fields.DatasetSpec) -> str:
+    parts = []
+    for k, (column, kept) in spec.breakdowns.items():
+        label = _DIM_SQL.get(k, column).replace("{zip}", spec.zip_column)
+        parts.append(f"SELECT '{k}' AS dim, CAST(NULL AS VARCHAR) AS agency, period, label, obligations, transactions, rank FROM ({_ranked_sql(label, None if kept else 25, source=spec.name)})")
+        if k in cubes.BY_AGENCY:
+            parts.append(f"SELECT '{k}', agency, period, label, obligations, transactions, rank FROM ({_ranked_sql(label, 15, agency=True, source=spec.name)})")
+    return " UNION ALL ".join(parts)
+
+
+@query(_cube_sql(CONTRACTS), "contracts")
+def c10d_whole_cube(contracts, spark, sf_dir):
+    return whole_cube.stored_cube(contracts, CONTRACTS, scratch(spark, "cube-base"))
+
+
+@query(_cube_sql(ASSISTANCE), "assistance")
+def c10e_whole_cube_assistance(assistance, spark, sf_dir):
+    return whole_cube.stored_cube(assistance, ASSISTANCE, scratch(spark, "cube-base"))
+
+
+@query(f"""SELECT * FROM (WITH c AS ({_cube_sql(CONTRACTS)})
+SELECT CASE WHEN agency IS NOT NULL THEN 'agency' WHEN dim = 'county' THEN 'side' ELSE 'dims' END AS file, dim, coalesce(trim(regexp_replace(lower(agency), '[^a-z0-9]+', '-', 'g'), '-'), '') AS slug, period, count(*) AS labels,
+round(sum(obligations), 2) AS obligations, CAST(sum(rank * transactions) AS BIGINT) AS ranked, count(CASE WHEN agency IS NULL AND dim = 'county' THEN 1 END) AS named FROM c GROUP BY ALL)""", "contracts")
+def a14b_cube_files(contracts, spark, sf_dir):
+    """Every file of the cube, read back: main dimensions, the county file with its names, one folder an agency."""
+    target = scratch(spark, "cube-files")
+    whole_cube.write_files(contracts, CONTRACTS, target, scratch(spark, "cube-base"))
+    label = "rank int, label string, name string, obligations double, transactions bigint"
+    schema, out = f"agency string, dim string, slug string, period string, rows array<struct<{', '.join(x.replace(' ', ': ', 1) for x in label.split(', '))}>>", None
+    for name in ("dims", "side", "agency"):
+        one = spark.read.schema(schema).json(f"{target}/{name}").select(F.lit(name).alias("file"), "dim", F.coalesce("slug", F.lit("")).alias("slug"), "period", F.explode("rows").alias("x"))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("file", "dim", "slug", "period").agg(F.count("*").alias("labels"), F.round(F.sum("x.obligations"), 2).alias("obligations"), F.sum(F.col("x.rank") * F.col("x.transactions")).alias("ranked"), F.count("x.name").alias("named"))
+
+
 _KPIS = f"""WITH c AS (SELECT agency, fy, sum(obligations) AS o, sum(transactions) AS n FROM ({_CUBE}) GROUP BY ALL),
 g AS (SELECT * FROM (SELECT DISTINCT agency FROM c) CROSS JOIN (SELECT DISTINCT fy FROM c))
 SELECT agency, coalesce(nullif(trim(regexp_replace(lower(agency), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown') AS slug, period, round(o, 2) AS obligations, CAST(n AS BIGINT) AS transactions FROM (
@@ -587,6 +625,15 @@ def c14_filter_options(contracts):
     return cubes.filter_options(contracts.withColumn("awarding_sub_agency_code", F.length("awarding_sub_agency_name").cast("string")), _OPTION_FIELDS)
 
 
+_CANDIDATES = {k: c for k, c in {**fields.DIMENSIONS, **fields.ALIASES}.items() if k not in ("month", "recipient", "recipient_parent") and not c.endswith("sub_agency_code")}
+
+
+@query("SELECT field, value, value AS label, obligations, row_number() OVER (PARTITION BY field ORDER BY obligations DESC, value) AS rank FROM (SELECT *, count(*) OVER (PARTITION BY field) AS c FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS field, {c} AS value, round(coalesce(sum({OBL}), 0), 2) AS obligations FROM contracts WHERE {c} IS NOT NULL GROUP BY {c}" for k, c in _CANDIDATES.items()) + f" UNION ALL SELECT 'month', strftime(action_date, '%Y-%m'), round(coalesce(sum({OBL}), 0), 2) FROM contracts WHERE action_date IS NOT NULL GROUP BY 2)) WHERE c <= 1500", "contracts")
+def c14b_filter_candidates(contracts):
+    """All candidate fields at a smaller gate, which some of them pass and some do not."""
+    return cubes.filter_options(contracts, most=1500)
+
+
 @query(f"SELECT DISTINCT extent_competed AS value, CASE WHEN b.label IS NOT NULL AND b.label <> '' THEN b.label || ' (' || extent_competed || ')' ELSE extent_competed END AS label, false AS searchable FROM contracts LEFT JOIN (SELECT * FROM (VALUES ('A', 'FULL'), ('R', '')) v(code, label)) b ON extent_competed = code", "contracts")
 def c15_live_options(contracts, spark, sf_dir):
     labels = _base(spark, sf_dir, "region").limit(1).select(F.explode(F.expr("array(named_struct('value', 'A', 'label', 'FULL'), named_struct('value', 'R', 'label', ''))")).alias("x")).select("x.*")

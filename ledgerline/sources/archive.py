@@ -263,13 +263,13 @@ def snapshot(df: DataFrame, target: str) -> None:
     flat(df).write.mode("overwrite").option("compression", "zstd").parquet(target)
 
 
-def write_cube(df: DataFrame, target: str, key: str | None = None) -> None:
-    """A cube as JSON, periods nested in each label's group; with a key, one folder for each of its values."""
-    columns = [c for c in df.columns if c not in (key, "period")]
-    groups = [key, "period"] if key else ["period"]
-    nested = df.groupBy(*groups).agg(F.sort_array(F.collect_list(F.struct("rank", *[c for c in columns if c != "rank"]))).alias("rows"))
+def write_cube(df: DataFrame, target: str, key: str | list[str] | None = None) -> None:
+    """A cube as JSON, periods nested in each label's group; with keys, one folder for each value of the first."""
+    keys = [key] if isinstance(key, str) else key or []
+    columns = [c for c in df.columns if c not in (*keys, "period")]
+    nested = df.groupBy(*keys, "period").agg(F.sort_array(F.collect_list(F.struct("rank", *[c for c in columns if c != "rank"]))).alias("rows"))
     writer = nested.write.mode("overwrite")
-    (writer.partitionBy(key) if key else writer).json(target)
+    (writer.partitionBy(keys[0]) if keys else writer).json(target)
 
 
 def write_csv(df: DataFrame, target: str) -> None:
