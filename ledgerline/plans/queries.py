@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import casting, fields
@@ -152,6 +152,15 @@ def a09_sorted_compaction(contracts, spark, sf_dir):
     return _years(_serve(contracts, spark, "recipient_name"))
 
 
+@query("SELECT action_date_fiscal_year AS fiscal_year, count(*) AS n_rows, true AS some_files, 0 AS out_of_order FROM contracts GROUP BY 1", "contracts")
+def a09b_sorted_ranges(contracts, spark, sf_dir):
+    """Files of a sorted year hold ranges of names that do not overlap but at their ends, so a scan for a name skips the others."""
+    rows = _serve(contracts, spark, "recipient_name").select("fiscal_year", "recipient_name", F.col("_metadata.file_path").alias("file"))
+    ranges = rows.groupBy("fiscal_year", "file").agg(F.count("*").alias("n"), F.min("recipient_name").alias("lo"), F.max("recipient_name").alias("hi"))
+    before = F.lag("hi").over(Window.partitionBy("fiscal_year").orderBy("lo", "hi"))
+    return ranges.withColumn("_before", before).groupBy("fiscal_year").agg(F.sum("n").alias("n_rows"), (F.count("*") > 0).alias("some_files"), F.count(F.when(F.col("_before") > F.col("lo"), 1)).cast("int").alias("out_of_order"))
+
+
 @query("""SELECT o_orderpriority AS priority, count(*) AS n_rows, count(DISTINCT o_orderkey) AS orders, round(sum(o_totalprice), 2) AS total, count(DISTINCT length(o_comment)) AS lengths, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS odd
 FROM (SELECT *, concat('"', o_clerk, '",', chr(10), o_orderkey) AS o_comment FROM (SELECT *, o_orderpriority AS o_clerk FROM orders)) GROUP BY 1""")
 def a10_zip_landing(spark, sf_dir):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -125,25 +124,67 @@ def csv_rows(members: DataFrame) -> DataFrame:
     return members.mapInArrow(parse, "archive string, member string, record map<string, string>")
 
 
-def award_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All files as text, columns united by name; a column that a file lacks is NULL there.
+def safe_names(header: list[str]) -> list[str]:
+    """Column names of a CSV header: an empty one is _c and its place, one that is there more than once gets its place behind it."""
+    seen = [h.lower() for h in header]
+    return [f"_c{i}" if not h else f"{h}{i}" if seen.count(h.lower()) > 1 else h for i, h in enumerate(header)]
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of paths (files or folders) by their headers; files without a header are left out.
 
-    Headers are read from the files' heads; files of one header are read together.
+    One job lists the files and reads the first record of each in tasks. Files in stores that Arrow can't open are asked
+    for by Spark's reader, one after another.
     """
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**_CSV).csv(path).columns)
+    def first_record(stream) -> list[str]:
+        import csv
+        import io
+
+        read = b""
+        while chunk := stream.read(1 << 16):
+            read += chunk
+            text = read.decode("utf-8-sig", "replace")
+            if any(text[: i + 1].count('"') % 2 == 0 for i, c in enumerate(text) if c == "\n"):
+                break
+        return next(csv.reader(io.StringIO(read.decode("utf-8-sig", "replace"), newline="")), [])
+
+    def heads(batches: Iterator) -> Iterator:
+        from urllib.parse import quote
 
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():  # as it is, without escapes
+                try:
+                    local = path.startswith("file:")
+                    store, name = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if local else fs.FileSystem.from_uri(quote(path, safe="/:@"))
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    found.append(None)
+                    continue
+                with store.open_input_stream(name) as stream:
+                    found.append(first_record(stream))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.list_(pa.string()))], ["path", "header"])
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).where("length > 0").select("path")
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(8) as pool:
-        for path, names in zip(paths, pool.map(header, paths), strict=True):
-            groups.setdefault(names, []).append(path)
+    for path, header in sorted(listed.mapInArrow(heads, "path string, header array<string>").collect()):  # a row a file
+        names = safe_names(header) if header is not None else spark.read.options(**_CSV).csv(path).columns
+        if names:
+            groups.setdefault(tuple(names), []).append(path)
+    return groups
+
+
+def award_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All files as text, columns united by name; a column that a file lacks is NULL there. Files of one header are read together."""
     out = None
-    for names, own in groups.items():
-        schema = ", ".join(f"`{n}` string" for n in names)
+    for names, own in csv_headers(spark, paths).items():
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
         part = spark.read.options(**_CSV).schema(schema).csv(own)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    return spark.createDataFrame([], "") if out is None else out
 
 
 def csv_to_parquet(spark: SparkSession, paths: list[str], target: str) -> dict[str, int]:
@@ -198,7 +239,8 @@ def write_serve(df: DataFrame, root: str, sort: str | None = None) -> None:
     Unsorted, years are rebalanced: adaptive execution splits large ones and joins small ones to files of its target size.
     """
     df = df.drop("agency")
-    df = df.repartitionByRange("fiscal_year", sort).sortWithinPartitions("fiscal_year", sort) if sort else df.hint("rebalance", "fiscal_year")
+    # a name that is most of a year is dealt to several ranges by its rows' hashes
+    df = df.repartitionByRange("fiscal_year", sort, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).sortWithinPartitions("fiscal_year", sort) if sort else df.hint("rebalance", "fiscal_year")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", MOST_ROWS).partitionBy("fiscal_year").parquet(root)
 
 
