@@ -3,8 +3,8 @@
 An entity is rewritten by a keyed permutation of the strings of its format (a Feistel network over a mixed radix, walked in
 its cycle), so two entities of a format never get one surrogate. What a permutation cannot rule out is looked up in the
 table of all distinct entities: surrogates that are entities of the corpus, of whatever type, or another entity's surrogate.
-Those entities get further rounds until none is left. A second round has another key; from the third on the format is
-widened by a character more each round, as the corpus may hold most or all strings of a short format.
+Those entities get further rounds, each with another permutation of the same format, until none is left. Only where every
+one of many rounds has met an entity, so that the format must be all but full, it is widened by a character a round.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm._common import BROADCAST_BYTES, in_batches, small_or_shuffled, stored
 
-#: The last round without a widened format.
-LAST_NARROW = 1
+#: The last round without a widened format. Formats of fixed length are long; only a corpus with most of their strings gets beyond.
+LAST_NARROW, LAST_NARROW_FIXED = 4, 40
+FIXED_LENGTH = {"card", "ip", "phone", "ssn"}
 # Given names by gender and script, and titles by gender.
 NAMES = {
     ("f", "latin"): "Alice Anna Carla Clara Diana Elena Emma Eva Helen Ines Irene Julia Laura Lucia Maria Marta Nina Nora Olga Paula Rosa Sara Sofia Vera".split(),
@@ -144,7 +145,7 @@ def widened(kind: str, value: str, more: int) -> str:
 
 def surrogate(kind: str, value: str, key: bytes, round_: int = 0) -> str:
     """The surrogate of a canonical value; for a format and round, different values have different ones."""
-    value = widened(kind, value, round_ - LAST_NARROW)
+    value = widened(kind, value, round_ - (LAST_NARROW_FIXED if kind in FIXED_LENGTH else LAST_NARROW))
     shape = "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in value)
     tweak = f"{kind}|{shape}|{round_}"
     if kind == "card":
@@ -249,7 +250,7 @@ def pseudonymised(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, text with surrogates, n_entities, kinds (sorted types), spans (start, length, kind in the new text).
 
     Defined results: null texts stay null with 0 entities; no surrogate is an entity of the corpus, and no two entities share
-    one; a short format of which the corpus holds too much gets longer surrogates; an entity has one surrogate wherever it occurs, e-mail
+    one; a format that is all but full of entities gets longer surrogates; an entity has one surrogate wherever it occurs, e-mail
     addresses regardless of case; surrogates have the format, script and check sum of the original and, for known given
     names after a title, its gender; repeated rows are rewritten alike; an empty table gives an empty result; other
     columns are not read.

@@ -37,6 +37,44 @@ def test_surrogates_of_one_format_are_distinct():
     assert len({surrogate("person f", f"{g} {n}", KEY) for g in ("Anna", "Eva", "Zoe", "Kim") for n in ("Novak", "Meyer", "Eva", "Anna")}) == 16
 
 
+LEGAL = {"ip": ["10.0.0.1", "89.189.210.185"], "ssn": ["123-45-6789"], "card": ["4663622617512349", "4111 1111 1111 1111"], "phone": ["+1 (514) 555-8389", "030 1234 5678", "+493012345678"]}
+
+
+def assert_legal(kind, old, new):
+    """new is of old's kind, its groups are as long, and its octets and check sum are in order."""
+    assert [x[2] for x in entities(f"x {new} y")] == [kind], (kind, old, new)
+    if kind == "ip":
+        assert len(new.split(".")) == 4 and all(0 <= int(x) <= 255 and str(int(x)) == x for x in new.split("."))
+    else:
+        assert [c if not c.isdigit() else "9" for c in new] == [c if not c.isdigit() else "9" for c in old]
+    if kind == "card":
+        assert _luhn([int(c) for c in new if c.isdigit()]) == _luhn([int(c) for c in old if c.isdigit()])
+
+
+def test_surrogates_are_legal_in_every_round():
+    for kind, values in LEGAL.items():
+        for v in values:
+            news = [surrogate(kind, v, KEY, r) for r in range(12)]
+            assert len(set(news)) == 12
+            for new in news:
+                assert_legal(kind, v, new)
+
+
+def test_surrogates_of_dense_formats_are_legal(spark):
+    """The surrogates of the first three rounds are all in the corpus, as entities of their own."""
+    own = [(k, v) for k, vs in LEGAL.items() for v in vs]
+    texts = [f"x {v} y" for _, v in own] + [f"x {surrogate(k, v, b'surrogates', r)} y" for k, v in own for r in range(3)]
+    got = {r.doc_id: r for r in pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    olds = [[(k, t[a:b], v) for a, b, k, v in entities(t)] for t in texts]
+    corpus, seen = {v for x in olds for _, _, v in x}, {}
+    for i, old in enumerate(olds):
+        for (kind, _, value), s in zip(old, got[i].spans, strict=True):
+            new = got[i].text[s.start : s.start + s.length]
+            assert_legal(kind, value, new)
+            assert new not in corpus and seen.setdefault(value, new) == new
+    assert len(set(seen.values())) == len(seen) == len(corpus)
+
+
 def test_gender_and_script_of_names():
     for text, group in (("Mrs. Anna Novak", "f"), ("Mr Peter Meyer", "m"), ("Frau Мария Иванова", "f")):
         (a, b, kind, value), = entities(f"said {text}.")
