@@ -161,6 +161,46 @@ def test_lines_recall_on_the_table(spark):
     assert sum(out.values()) >= 0.9 * len(more)
 
 
+def spread_pairs(rng, n, pairs):
+    """Pairs of lines of n words, all of words of their own, of which exactly the fifth that may differ does, evenly spread."""
+    for _ in range(pairs):
+        a = [f"{rng.getrandbits(48):x}" for _ in range(n)]
+        b, edits, at = list(a), n // 5, rng.random()
+        for k in range(edits):
+            b[int((k + at) * n / edits) % n] = f"{rng.getrandbits(48):x}"
+        yield " ".join(a), " ".join(b)
+
+
+def test_lines_recall_by_length(spark):
+    """Of pairs at the threshold whose edits are spread evenly, at least 0.9 are linked at each length."""
+    rng, rows, lengths = random.Random(14), [], (5, 6, 8, 10, 12, 15, 20, 30, 47, 50, 80, 200)
+    for n in lengths:
+        rows += [(2 * len(rows) + j, x, n) for pair in spread_pairs(rng, n, 100) for j, x in enumerate(pair)]
+    rows = [(i, x, n) for i, (_, x, n) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = {r.n: r.dropped for r in deduplicated(df).groupBy("n").agg({"n_dropped": "sum"}).toDF("n", "dropped").collect()}
+    assert {n: got[n] for n in lengths if got[n] < 90} == {}
+
+
+def test_lines_of_few_words_and_of_neighbouring_lengths(spark):
+    """Every line has keys, whatever its vocabulary; lengths on both sides of a limit meet."""
+    rng, rows = random.Random(15), []
+    for k in range(40):  # long lines of five distinct words, with one word changed
+        some = [f"{rng.getrandbits(40):x}" for _ in range(5)]
+        a = [rng.choice(some) for _ in range(60)]
+        b = list(a)
+        b[rng.randrange(60)] = "changed"
+        rows += [" ".join(a), " ".join(b)]
+    for n in (5, 6, 10, 11, 12, 13, 46, 47, 48):  # a word more
+        for _ in range(10):
+            a = [f"{rng.getrandbits(48):x}" for _ in range(n)]
+            b = list(a)
+            b.insert(rng.randrange(n + 1), "more")
+            rows += [" ".join(a), " ".join(b)]
+    out = deduplicated(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    assert out.where("n_dropped = 1 AND doc_id % 2 = 1").count() >= 0.97 * len(rows) / 2
+
+
 @pytest.mark.parametrize("times", [1, 18, 19, 60])
 def test_simhash_counts_bits(spark, times):
     import pyspark.sql.functions as f
