@@ -117,37 +117,72 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
 
 
 def reduced(counts: Counter, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Bins (lengths, how many) that dominance fixes for good; counts keeps the rest.
+    """Bins (lengths, how many) of one to three pieces that dominance fixes for good; counts keeps the rest.
 
-    In falling order of the largest piece x: alone if not even the smallest fits beside it; with the piece that fills the
-    bin exactly, if there is one; with the largest that fits, if no two others fit together beside it. Any other bin
-    with x can be exchanged for such a one piece by piece. Where none holds, x stays and the next one is looked at.
+    In falling order of the largest piece x, with y the largest other that fits beside it: x alone if there is no y; with y
+    if they fill the bin, or if no two others fit together beside x, or if no three do and no two are more than y. If no
+    three others fit, x with y and the largest z that fits beside both, unless two others that fit are both larger than z.
+    Any other bin with x can be exchanged for such a one piece by piece. Where none holds, x stays and the next one is
+    looked at.
     """
     fixed: list[tuple[tuple[int, ...], int]] = []
     have = sorted(x for x in counts if counts[x] > 0)
 
-    def take(bin_: tuple[int, ...], n: int) -> None:
+    def take(*bin_: int) -> None:
+        times = Counter(bin_)
+        n = min(counts[x] // m for x, m in times.items())
         fixed.append((bin_, n))
-        for x, m in Counter(bin_).items():
+        for x, m in times.items():
             counts[x] -= n * m
             if not counts[x]:
                 have.pop(bisect.bisect_left(have, x))
 
+    def largest(room: int, *beside: int) -> int | None:
+        """The largest piece of at most `room` that is left beside others."""
+        at = bisect.bisect_right(have, room) - 1
+        while at >= 0 and counts[have[at]] <= beside.count(have[at]):
+            at -= 1
+        return have[at] if at >= 0 else None
+
+    def largest_two(room: int, x: int) -> tuple[int, int]:
+        """Of pairs that fit in `room` beside x, the largest sum and the largest smaller piece."""
+        total = smaller = 0
+        low, high = 0, bisect.bisect_right(have, room) - 1
+        while low <= high:
+            y, z = have[low], have[high]
+            if counts[z] == (z == x):
+                high -= 1
+            elif counts[y] == (y == x) or (low == high and counts[y] - (y == x) < 2):
+                low += 1
+            elif y + z > room:
+                high -= 1
+            else:
+                total, smaller, low = max(total, y + z), max(smaller, y), low + 1
+        return total, smaller
+
     i = len(have)
     while i > 0:
         x = have[i - 1]
-        n, room = counts[x], capacity - x
-        others = [y for y in have[:3] for _ in range(min(2, counts[y] - (y == x)))]
-        if not others or others[0] > room:
-            take((x,), n)
-        else:
-            best = have[bisect.bisect_right(have, room) - 1]
-            if best == x and n == 1:
-                best = have[i - 2]
-            if best != room and len(others) > 1 and others[0] + others[1] <= room:
+        room = capacity - x
+        others = [y for y in have[:4] for _ in range(min(3, counts[y] - (y == x)))][:3]
+        y = largest(room, x)
+        if y is None:
+            take(x)
+        elif y == room or sum(others[:2]) > room or len(others) < 2:
+            take(x, y)
+        elif len(others) < 3 or sum(others) > room:
+            total, smaller = largest_two(room, x)
+            z = largest(room - y, x, y)
+            if total <= y:
+                take(x, y)
+            elif z is not None and smaller <= z:
+                take(x, y, z)
+            else:
                 i -= 1
                 continue
-            take((x, best), n // 2 if best == x else min(n, counts[best]))
+        else:
+            i -= 1
+            continue
         i = bisect.bisect_right(have, x)
     return fixed
 
@@ -197,12 +232,10 @@ def best_fit(counts: Counter, capacity: int) -> list[tuple[tuple[int, ...], int]
 
 
 def solved(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Bins (lengths, how many) that hold all pieces: the better of reduction then best fit, and best fit alone."""
+    """Bins (lengths, how many) that hold all pieces: those that dominance fixes, and best fit of the remainder."""
     left = Counter(counts)
-    with_reduction = reduced(left, capacity)
-    with_reduction += best_fit(+left, capacity)
-    alone = best_fit(Counter(counts), capacity)
-    return min(with_reduction, alone, key=lambda bins: sum(n for _, n in bins))
+    fixed = reduced(left, capacity)
+    return fixed + best_fit(+left, capacity)
 
 
 def slots(bins: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:

@@ -80,17 +80,21 @@ def test_reduction_keeps_the_optimum():
     """Bins that dominance fixes leave an instance whose optimum and theirs add up to the whole optimum."""
     from ledgerline.llm.op1_packing import reduced
 
-    rng = random.Random(4)
-    for _ in range(150):
-        items = sorted((rng.randint(1, 12) for _ in range(rng.randint(0, 9))), reverse=True)
+    rng, sizes = random.Random(4), Counter()
+    for _ in range(600):
+        least, most = rng.choice([(1, 12), (2, 7), (3, 9), (1, 6)])
+        items = sorted((rng.randint(least, most) for _ in range(rng.randint(0, 9))), reverse=True)
         left = Counter(items)
         fixed = reduced(left, 12)
+        sizes.update(len(b) for b, _ in fixed)
         n = sum(m for _, m in fixed)
         rest = sorted((+left).elements(), reverse=True)
         assert n + (optimum(rest, 12) if rest else 0) == (optimum(items, 12) if items else 0)
         bins = solved(Counter(items), 12)
         assert all(sum(b) <= 12 for b, _ in bins)
         assert sorted(x for b, m in bins for _ in range(m) for x in b) == sorted(items)
+        assert bins[: len(fixed)] == fixed  # what dominance fixes stays in the result
+    assert min(sizes[1], sizes[2], sizes[3]) > 50 and set(sizes) == {1, 2, 3}
 
 
 def test_ranks(spark):
