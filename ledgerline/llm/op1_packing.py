@@ -9,6 +9,7 @@ numbers the pieces within each length and joins them with the slots.
 from __future__ import annotations
 
 import bisect
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,6 +23,8 @@ from ledgerline.llm._common import in_batches, stored, texts
 CACHE_WORDS = 350_000
 #: Token ids of words by vocabulary, kept by a worker from task to task.
 KNOWN: dict[str, dict[bytes, bytes]] = {}
+#: ASCII punctuation that may end a word of letters; an apostrophe may begin a token with letters behind it.
+TAIL = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
 #: Parts in which the pieces of one length are numbered, so that a hot length is no single task.
 RANK_PARTS = 256
 
@@ -29,8 +32,9 @@ RANK_PARTS = 256
 class Words:
     """Token ids of words, for vocabularies that drop white space, ignore case and mark the end of words with </w>.
 
-    Tokens never span white space there, so the ids of a text are those of its words. Words of letters are encoded many at
-    a time, their ids told apart by the end marks; a word of letters and ASCII punctuation is put together from both.
+    Tokens never span white space there, so the ids of a text are those of its words. Words of ASCII letters go to the model
+    as they are, in lower case, as nothing else is done to them before it; other words of letters are encoded many at a
+    time, their ids told apart by the end marks; a word of letters and ASCII punctuation is put together from both.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -38,6 +42,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(vocabulary)
+        self.model = self.encoder.model
         ends = {i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")}
         self.ends = np.array([i in ends for i in range(self.encoder.get_vocab_size())])
         self.parts = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)")
@@ -55,20 +60,26 @@ class Words:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         letters, others, joined = set(), set(), []
-        for w in words:
-            if w in self.known:
-                continue
-            m = self.parts.fullmatch(w.decode())
-            if m is None:
-                others.add(w)
-            elif m[2]:
-                core, tail = m[1].encode(), m[2].encode()
+        for w in words.difference(self.known):
+            core = w.rstrip(TAIL)
+            if not core.isalpha():  # of ASCII letters only
+                m = None if w.isascii() else self.parts.fullmatch(w.decode())
+                if m is None:
+                    others.add(w)
+                    continue
+                core = m[1].encode()
+            letters.add(core)
+            if len(core) < len(w):
+                tail = w[len(core) :]
                 joined.append((w, core, tail))
-                letters.add(core)
                 others.add(tail)
+        todo = []
+        for w in letters.difference(self.known):
+            if w.isascii():
+                ids = [token.id for token in self.model.tokenize(w.lower().decode())]
+                self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                letters.add(w)
-        todo = [w for w in letters if w not in self.known]
+                todo.append(w)
         for i in range(0, len(todo), 500):
             some = todo[i : i + 500]
             ids = np.array(self.encoder.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
