@@ -201,6 +201,29 @@ def test_lines_of_few_words_and_of_neighbouring_lengths(spark):
     assert out.where("n_dropped = 1 AND doc_id % 2 = 1").count() >= 0.97 * len(rows) / 2
 
 
+def test_lines_lose_no_link(spark, monkeypatch):
+    """Every link counts, also of lines that share runs with many others which have no link with them, and in blocks of several parts."""
+    monkeypatch.setattr(lines_op, "PART", 3, raising=False)
+    rng, rows = random.Random(16), []
+    common = [f"common{i}" for i in range(14)]
+    for _ in range(60):  # pairs: frequent words in front, words of their own behind, four of 20 changed, spread
+        a = common + [f"{rng.getrandbits(40):x}" for _ in range(6)]
+        b = list(a)
+        for k in (2, 7, 12, 17):
+            b[k] = f"{rng.getrandbits(40):x}"
+        rows += [" ".join(a), " ".join(b)]
+    for n in (5, 7, 9, 10, 14, 15, 20, 24, 25, 60):
+        rows += [x for pair in spread_pairs(rng, n, 40) for x in pair]
+    docs = list(enumerate(rows))
+    places, find, _ = brute_groups(docs)
+    first = {}
+    for n, at in places.items():
+        first[find(n)] = min(first.get(find(n), at[0]), min(at))
+    want = {at[0] for ats in places.values() for at in ats if at not in first.values()}
+    got = {r.doc_id for r in deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).where("n_dropped = 1").collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("times", [1, 18, 19, 60])
 def test_simhash_counts_bits(spark, times):
     import pyspark.sql.functions as f
