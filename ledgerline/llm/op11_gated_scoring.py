@@ -7,7 +7,7 @@ class + its distinct words + 1). A word outside of the head is joined with the d
 by its exact count, however many distinct words there are.
 
 Training is by rounds: replicas, as many as the training tokens ask for, start from the same parameters, learn their own
-texts by truncated backpropagation and are averaged by tokens. Every round takes other texts.
+texts by truncated backpropagation and are averaged by tokens. Every round takes other texts, all rounds take all of them.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from ledgerline.llm._common import removed, stored, texts
 #: Words that reach every task, of at most LONGEST bytes each; the network's own words; their classes, and those of other words.
 HEAD, LONGEST, OWN, CLASSES, OPEN = 1 << 17, 64, 1024, 24, 24
 HIDDEN = 16
-#: Training: rounds, one of SHARE training texts in all of them, tokens of a replica in a round.
-ROUNDS, SHARE, REPLICA = 4, 4, 100_000
+#: Training: rounds, each over its part of all training texts, and tokens of a replica in a round.
+ROUNDS, REPLICA = 4, 100_000
 #: Tokens that a task scores or learns at once, distinct words that it counts before it passes them on, floats in a row of parameters.
 GROUP, COUNTED, CHUNK = 1_000_000, 200_000, 2048
 #: The end of a text as a word; no word holds white space.
@@ -148,11 +148,11 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def trained(docs: DataFrame, v: Vocabulary) -> dict[str, np.ndarray]:
-    """The network's parameters after ROUNDS rounds over one of SHARE of docs (doc_id, text)."""
+    """The network's parameters after ROUNDS rounds, which learn each of docs (doc_id, text) once."""
     s = v.shape()
     p = gru.initial(s, HIDDEN, v.counts[: v.own], v.open_tokens)
-    replicas = max(1, -(-v.tokens // (SHARE * ROUNDS * REPLICA)))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(SHARE * ROUNDS))
+    replicas = max(1, -(-v.tokens // (ROUNDS * REPLICA)))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(ROUNDS))
     for n in range(ROUNDS):
         own = docs.where(part == n).select("text").coalesce(replicas)
         sums = stored(averaged(own.mapInArrow(_learner(p, s, v), "chunk int, tokens long, p binary")), "gru")

@@ -188,6 +188,20 @@ def test_operator_score_is_that_of_the_plain_network(spark, monkeypatch):
         assert got[i].score == pytest.approx(total, rel=1e-4, abs=1e-3)
 
 
+def test_all_training_texts_are_learned(spark, monkeypatch):
+    """The rounds together learn every token of every training text, each once."""
+    learned, real = [], op11.averaged
+
+    def seen(replicas):
+        learned.append(replicas.where("chunk = 0").agg({"tokens": "sum"}).first()[0] or 0)
+        return real(replicas)
+
+    monkeypatch.setattr(op11, "averaged", seen)
+    rows = [(i, " ".join(f"w{k % 7}" for k in range(i % 11))) for i in range(200)]
+    got = log_likelihoods(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(learned) == got[0].train_tokens == sum(r.n_tokens for r in got if not r.held_out)
+
+
 def test_no_rows_and_no_training_rows(spark):
     assert log_likelihoods(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     held = [i for i in range(60) if crc32(str(i).encode()) % 7 == 2]
