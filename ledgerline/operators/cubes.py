@@ -90,11 +90,14 @@ def agency_breakdown(df: DataFrame, spec: DatasetSpec, key: str, n: int = TOP_BY
 def agency_kpis(df: DataFrame) -> DataFrame:
     """KPIs of every agency for every year, zeros where it has none, and `all` of its years: (agency, slug, period, ...)."""
     cube = _series(df).groupBy("agency", "fy").agg(F.sum("o").alias("o"), F.sum("n").alias("n"))
-    # both sides are names and years: a few rows each
-    grid = cube.select("agency").distinct().crossJoin(cube.select("fy").distinct())
-    full = grid.join(cube, ["agency", "fy"], "left").select("agency", F.col("fy").alias("period"), F.coalesce("o", F.lit(0.0)).alias("o"), F.coalesce("n", F.lit(0)).alias("n"))
-    total = cube.groupBy("agency").agg(F.lit("all").alias("period"), F.sum("o").alias("o"), F.sum("n").alias("n"))
-    return full.unionByName(total).select("agency", slug(F.col("agency")).alias("slug"), "period", F.round("o", 2).alias("obligations"), F.col("n").alias("transactions"))
+    # a row an agency with its years, so that df is read once; joins of agencies and years would each read it again
+    own = cube.groupBy("agency").agg(F.collect_list(F.struct("fy", "o", "n")).alias("own"), F.sum("o").alias("o"), F.sum("n").alias("n"))
+    years = own.withColumn("years", F.array_distinct(F.flatten(F.collect_list(F.col("own.fy")).over(Window.partitionBy(F.lit(0))))))
+    zero = F.struct(F.lit(0.0).alias("o"), F.lit(0).cast("bigint").alias("n"))
+    found = F.transform("years", lambda y: F.struct(y.alias("period"), F.coalesce(F.get(F.transform(F.filter("own", lambda x: x["fy"] == y), lambda x: F.struct(x["o"].alias("o"), x["n"].alias("n"))), F.lit(0)), zero).alias("sums")))
+    total = F.array(F.struct(F.lit("all").alias("period"), F.struct("o", "n").alias("sums")))
+    rows = years.select("agency", F.explode(F.concat(found, total)).alias("x"))
+    return rows.select("agency", slug(F.col("agency")).alias("slug"), "x.period", F.round("x.sums.o", 2).alias("obligations"), F.col("x.sums.n").alias("transactions"))
 
 
 def county_names(df: DataFrame) -> DataFrame:

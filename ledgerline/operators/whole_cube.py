@@ -12,6 +12,8 @@ from ledgerline.sources.archive import write_cube
 
 # Fixed value: dimensions that are kept whole and too long for the main file, each in a file of its own.
 SIDE_FILES = ("county",)
+#: What names of counties are made of.
+COUNTY = ("prime_award_transaction_recipient_county_fips_code", "recipient_county_name", "recipient_state_code")
 
 
 def cube_base(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -62,9 +64,14 @@ def write_files(df: DataFrame, spec: DatasetSpec, target: str, scratch: str) ->
     """The files of a product's cube as JSON under target.
 
     dims/dim=: the main dimensions; side/dim=: those of SIDE_FILES, county labels with their names; agency/slug=: each
-    agency's dimensions; trend, timeseries and agencies. Agencies are written together, none is a job of its own.
+    agency's dimensions; trend, timeseries and agencies. Agencies are written together, none is a job of its own. The columns
+    of df that any file needs are written to scratch first, so that df, which may be a join, is computed once.
     """
-    rows = stored_cube(df, spec, scratch)
+    needed = {*[c for c, _ in spec.breakdowns.values()], "awarding_agency_name", "awarding_sub_agency_name", YEAR, "federal_action_obligation", *COUNTY}
+    own = df.select(*[quoted(c) for c in df.columns if c in needed])
+    own.write.mode("overwrite").parquet(f"{scratch}/rows")
+    df = df.sparkSession.read.schema(own.schema).parquet(f"{scratch}/rows")
+    rows = stored_cube(df, spec, f"{scratch}/base")
     every, side = rows.where("agency IS NULL").drop("agency"), F.col("dim").isin(*SIDE_FILES)
     write_cube(every.where(~side), f"{target}/dims", ["dim"])
     names = county_names(df).select(F.col("fips").alias("label"), F.col("label").alias("name"))

@@ -65,3 +65,19 @@ def test_candidates_are_columns_that_are_there(odd):
     assert cubes.filter_candidates(odd) == ["fiscal_year", "awarding_agency", "awarding_subagency", "state", "county"]
     assert {r.field for r in cubes.filter_options(odd, most=2).collect()} == {"awarding_subagency", "fiscal_year"}
     assert cubes.filter_options(odd, ["nothing"]).count() == 0 and cubes.filter_options(odd, ["recipient"]).count() == 0
+
+
+def test_what_a_cube_is_of_is_computed_once(spark, sf_dir, odd, tmp_path):
+    """KPIs read their rows once; the files of a cube compute each row once, however many of them there are."""
+    odd.write.parquet(str(tmp_path / "odd"))
+    kpis = cubes.agency_kpis(spark.read.parquet(str(tmp_path / "odd")))
+    assert kpis._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    amount = F.udf(counted, "double").asNondeterministic()("federal_action_obligation")
+    whole_cube.write_files(odd.withColumn("federal_action_obligation", amount), CONTRACTS, str(tmp_path / "files"), str(tmp_path / "scratch"))
+    assert seen.value == odd.count()
