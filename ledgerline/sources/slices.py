@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.fields import logical_id
 from ledgerline.sources import files
-from ledgerline.sources.archive import MANIFEST, MOST_ROWS, partitioned_text
+from ledgerline.sources.archive import MANIFEST, partitioned_text, write_slices
 
 # Fixed value: the form of the archive's names, as part of the path of what was landed from it.
 _NAME = r"FY\(?(\d{4}|All)\)?_([^_/]+)_(Contracts|Assistance)_(Full|Delta)_(\d{8})"
@@ -56,7 +56,7 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 def stage(rows: DataFrame, root: str) -> None:
     """Write rows (with columns KEYS) of files that are not committed yet; what an earlier try left of them is replaced."""
     new = rows.join(entries(rows.sparkSession, root).select("file"), "file", "left_anti")
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", MOST_ROWS).partitionBy(*KEYS).parquet(f"{root}/data")
+    write_slices(new, KEYS, f"{root}/data")
 
 
 def commit(spark: SparkSession, root: str, listing: DataFrame | None = None) -> int:
