@@ -224,6 +224,33 @@ def test_lines_lose_no_link(spark, monkeypatch):
     assert got == want
 
 
+def test_lines_leave_little_on_disk(spark, monkeypatch):
+    """What was stored on the way to the links is gone when they are found, and so is what a stored frame shuffled."""
+    import glob
+    import os
+    import time
+
+    from ledgerline.llm import _common
+
+    made = []
+    own = lines_op.stored
+    monkeypatch.setattr(lines_op, "stored", lambda df, name: made.append((name, own(df, name))) or made[-1][1])
+    folders = lambda: {n for n, df in made for f in df.inputFiles()[:1] if glob.glob(f.removeprefix("file://").rsplit("/", 1)[0] + "/*.parquet")}
+    assert deduplicated(spark.createDataFrame(line_corpus(), "doc_id long, text string")).count() == 93
+    assert {"line-keys", "line-blocks", "line-edges", "links", "line-nodes"} <= {n for n, _ in made}
+    assert folders() <= {"line-places", "distinct-lines", "line-groups"}
+
+    local = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    names = lambda: {n for top in local for _, _, found in os.walk(top) for n in found}
+    before = names()
+    kept = spark.range(1000).repartition(3, "id")
+    _common.stored(kept, "test")
+    until = time.time() + 10
+    while (left := {n for n in names() - before if n.startswith("shuffle")}) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
 @pytest.mark.parametrize("times", [1, 18, 19, 60])
 def test_simhash_counts_bits(spark, times):
     import pyspark.sql.functions as f
