@@ -224,6 +224,30 @@ def test_lines_lose_no_link(spark, monkeypatch):
     assert got == want
 
 
+def test_lines_of_a_family_are_not_paired_all(spark, monkeypatch):
+    """Near copies of one line, whose first is far from most, and long lines of the same words take few comparisons a line."""
+    rng, made = random.Random(17), []
+    word = lambda: f"{rng.getrandbits(40):x}"
+    base, rows = [word() for _ in range(50)], []
+    for i in range(400):
+        w = list(base)
+        for k in rng.sample(range(50), 9 if i == 0 else rng.randint(0, 8)):
+            w[k] = word()
+        rows.append(" ".join(w))
+    shared, few = [word() for _ in range(4)], [word() for _ in range(40)]
+    for _ in range(100):  # some of the words often, others once
+        often = rng.sample(few, 8)
+        w = few + [rng.choice(often) for _ in range(110)]
+        rng.shuffle(w)
+        rows.append(" ".join(w[:75] + shared + w[75:]))
+    own = lines_op.verified
+    monkeypatch.setattr(lines_op, "verified", lambda edges, once: made.append(edges.count()) or own(edges, once))
+    docs = list(enumerate(rows))
+    got = {r.doc_id for r in deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).where("n_dropped = 1").collect()}
+    assert got == set(range(1, 400))  # a brute force gives the same
+    assert sum(made) < 6 * len(rows)
+
+
 def test_lines_leave_little_on_disk(spark, monkeypatch):
     """What was stored on the way to the links is gone when they are found, and so is what a stored frame shuffled."""
     import glob
