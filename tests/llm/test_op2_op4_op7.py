@@ -248,6 +248,32 @@ def test_lines_of_a_family_are_not_paired_all(spark, monkeypatch):
     assert sum(made) < 6 * len(rows)
 
 
+def test_lines_compare_a_pair_once(spark, monkeypatch):
+    """Runs that the same lines share are one block, and a pair that several blocks share comes from the first of them only; a
+    pair of large components is not left out."""
+    rng = random.Random(18)
+    word = lambda: f"{rng.getrandbits(40):x}"
+    base, texts = [word() for _ in range(30)], []
+    texts += [" ".join([*base, *[word() for _ in range(20)]]) for _ in range(2)]  # 28 runs in common, and no others have them
+    shared = [[word() for _ in range(4)] for _ in range(3)]
+    texts += [" ".join(sum(([*x, *[word() for _ in range(3)]] for x in shared[: 1 + i % 3]), [])) for i in range(30)]
+    once = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("th", F.lit(0))
+    once = lines_op.hashed_lines(once).select(F.col("id").alias("node"), "n_words", "line").localCheckpoint()
+    rows = lines_op.blocks(once).localCheckpoint()
+    members = {}
+    for r in rows.collect():
+        members.setdefault(r.key, set()).add(r.node)
+    assert sorted(map(len, members.values())) == sorted({frozenset(m): len(m) for m in members.values()}.values()) and {0, 1} in members.values()
+    monkeypatch.setattr(lines_op, "_MAY_LINK", "true")
+    for label in ("node", "CASE WHEN node % 3 = 0 THEN 5 ELSE node % 2 END"):
+        groups = once.selectExpr("node", f"{label} component")
+        of = {r.node: r.component for r in groups.collect()}
+        # a pair with a block's least node was compared before
+        want = {(a, b) for m in members.values() for a in m for b in m if a < b and of[a] != of[b]} - {(min(m), b) for m in members.values() for b in m}
+        got = [(r.hub, r.node) for r in lines_op.remaining(rows, groups).collect()]
+        assert sorted(got) == sorted(want) and len(want) > 5
+
+
 def test_lines_leave_little_on_disk(spark, monkeypatch):
     """What was stored on the way to the links is gone when they are found, and so is what a stored frame shuffled."""
     import glob
