@@ -273,3 +273,14 @@ def test_refresh_resumes(spark):
     # what has not landed is taken up by the next call; a file without rows may be named
     _, again = refreshed(spark.createDataFrame([], rows.schema), files, after, landed=files.where("logical_id LIKE '%/002'"))
     assert {r.logical_id: r.row_count for r in again.collect()} == {"contracts/2024/001": 2, "contracts/2024/002": 0, "contracts/2024/003": 7}
+
+
+def test_award_summary_sorts_once(spark, sf_dir):
+    """Totals and the latest transaction share one exchange and one sort of the wide rows."""
+    rows = [("A", "t1", None, "2026-01-01", 1.25), ("A", "t2", "2026-02-01", "2026-01-01", None), ("A", "t3", "2026-02-01", None, 2.0), ("B", "t4", None, None, -3.0), (None, "t5", "2026-01-01", None, 9.0)]
+    df = spark.createDataFrame(rows, "contract_award_unique_key string, contract_transaction_unique_key string, action_date string, last_modified_date string, federal_action_obligation double")
+    out = summary.award_summary(df, CONTRACTS)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+    got = sorted((r.contract_award_unique_key, r.contract_transaction_unique_key, r.award_obligated_total, r.award_transaction_count, r.award_first_action_date, r.award_latest_action_date) for r in out.collect())
+    assert got == [("A", "t2", 3.25, 3, "2026-02-01", "2026-02-01"), ("B", "t4", -3.0, 1, None, None)]
