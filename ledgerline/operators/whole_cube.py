@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.casting import quoted
@@ -12,6 +15,8 @@ from ledgerline.sources.archive import write_cube
 
 # Fixed value: dimensions that are kept whole and too long for the main file, each in a file of its own.
 SIDE_FILES = ("county",)
+#: Partitions, at least, of what is shuffled to be written; small ones are united by their sizes as they are read.
+PARTITIONS = 512
 #: What names of counties are made of.
 COUNTY = ("prime_award_transaction_recipient_county_fips_code", "recipient_county_name", "recipient_state_code")
 
@@ -33,13 +38,22 @@ def cube(base: DataFrame, spec: DatasetSpec, n: int = TOP, n_agency: int = TOP_B
     whole. With one, for dimensions of BY_AGENCY: each year and `all` over all its rows; the n_agency largest. Years,
     periods and agencies come from the same sums by grouping sets; the base is read, rows are not.
     """
-    whole = [k for k, (_, kept) in spec.breakdowns.items() if kept]
+    return ranked_cube(cube_sums(base), spec, n, n_agency)
+
+
+def cube_sums(base: DataFrame) -> DataFrame:
+    """Sums of a cube_base by its grouping sets: each label's of all agencies and of one, of all years and of one."""
     dated = F.col("_year").isNotNull()
     sets = base.withColumn("_year", F.col("fy")).groupingSets([["dim", "label", "fy"], ["dim", "label"], ["dim", "label", "agency", "fy"], ["dim", "label", "agency"]], "dim", "label", "agency", "fy")
-    sums = sets.agg(
+    return sets.agg(
         F.grouping("agency").alias("_every"), F.grouping("fy").alias("_all"), F.sum("o").alias("o"), F.sum("n").alias("n"),
         F.sum(F.when(dated, F.col("o"))).alias("o_dated"), F.coalesce(F.sum(F.when(dated, F.col("n"))), F.lit(0)).alias("n_dated"),
     )
+
+
+def ranked_cube(sums: DataFrame, spec: DatasetSpec, n: int = TOP, n_agency: int = TOP_BY_AGENCY) -> DataFrame:
+    """The cube of its sums (see cube)."""
+    whole = [k for k, (_, kept) in spec.breakdowns.items() if kept]
     every = sums.where("_every = 1 AND n_dated > 0 AND (_all = 1 OR fy IS NOT NULL)").withColumns({"o": F.col("o_dated"), "n": F.col("n_dated")})
     each = sums.where("_every = 0 AND agency IS NOT NULL AND (_all = 1 OR fy IS NOT NULL)").where(F.col("dim").isin(*BY_AGENCY))
 
@@ -53,11 +67,27 @@ def cube(base: DataFrame, spec: DatasetSpec, n: int = TOP, n_agency: int = TOP_B
     return ranked(every.where(~F.col("dim").isin(*whole)), n).unionByName(ranked(every.where(F.col("dim").isin(*whole)), None)).unionByName(ranked(each, n_agency))
 
 
+@contextmanager
+def finely_dealt(spark: SparkSession) -> Iterator[None]:
+    """Writes within deal their shuffles to PARTITIONS at least, so that no task sums the labels of a large part of all."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, max(PARTITIONS, int(before or spark.conf.get("spark.sql.shuffle.partitions"))))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored_cube(df: DataFrame, spec: DatasetSpec, folder: str) -> DataFrame:
-    """The cube of df, whose base is written to a folder first, by dimension: rows are scanned once whatever is read of it."""
-    cube_base(df, spec).write.mode("overwrite").partitionBy("dim").parquet(folder)
-    schema = "agency string, fy string, label string, o double, n bigint, dim string"
-    return cube(df.sparkSession.read.schema(schema).parquet(folder), spec)
+    """The cube of df, whose base and sums are written to a folder first, by dimension: rows are scanned once whatever is read of it."""
+    spark = df.sparkSession
+    with finely_dealt(spark):
+        cube_base(df, spec).write.mode("overwrite").partitionBy("dim").parquet(f"{folder}/base")
+        sums = cube_sums(spark.read.schema("agency string, fy string, label string, o double, n bigint, dim string").parquet(f"{folder}/base"))
+        sums.write.mode("overwrite").partitionBy("dim").parquet(f"{folder}/sums")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sums.schema if f.name != "dim")
+    return ranked_cube(spark.read.schema(f"{kinds}, dim string").parquet(f"{folder}/sums"), spec)
 
 
 def write_files(df: DataFrame, spec: DatasetSpec, target: str, scratch: str) -> None:

@@ -81,3 +81,16 @@ def test_what_a_cube_is_of_is_computed_once(spark, sf_dir, odd, tmp_path):
     amount = F.udf(counted, "double").asNondeterministic()("federal_action_obligation")
     whole_cube.write_files(odd.withColumn("federal_action_obligation", amount), CONTRACTS, str(tmp_path / "files"), str(tmp_path / "scratch"))
     assert seen.value == odd.count()
+
+
+def test_stored_cube_is_dealt_finely(spark, sf_dir, tmp_path, monkeypatch):
+    """Base and sums are written from many shuffle partitions whatever the session's number, which stays; the cube is the same."""
+    key, seen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    own = whole_cube.cube_base
+    monkeypatch.setattr(whole_cube, "cube_base", lambda df, spec: seen.append(spark.conf.get(key, "4")) or own(df, spec))
+    contracts = view(spark, sf_dir, "contracts")
+    got = whole_cube.stored_cube(contracts, CONTRACTS, str(tmp_path / "cube"))
+    assert int(seen[0]) >= 512 and spark.conf.get(key, None) is None
+    want = whole_cube.cube(own(contracts, CONTRACTS), CONTRACTS)
+    row = lambda r: tuple((v is None, v or 0) for v in r)
+    assert sorted(map(row, got.select(want.columns).collect())) == sorted(map(row, want.collect()))
