@@ -4,7 +4,8 @@ Features are hashed counts of 1 to 3 bytes over lower-cased letters, square-root
 fitted in Spark tasks, one problem a task, on a bounded sample of labelled rows; every text is predicted as a whole.
 
 The SVMs only choose among the languages learned. Whether a text is in one of them at all is told by its mean log
-likelihood under each language's counts, against what labelled rows that are not fitted on reach.
+likelihood under each language's counts, which are of all labelled rows that are not held out, against what all labelled
+rows that are held out reach.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ SAMPLE_PER_LANGUAGE = 400
 OVERSAMPLED, HASHES = 4, 1 << 40
 UNDETERMINED = "und"
 #: A text is unknown if its mean log likelihood is under each language's own by over `slack` * sqrt(1 / letters + 1 / SPREAD).
-#: slack is MARGIN times what all but SPARED of the labelled rows held out stay within, LEAST_SLACK at least.
+#: slack is MARGIN times what all but SPARED of the labelled rows held out of any language stay within, LEAST_SLACK at least.
 SPREAD, MARGIN, SPARED, LEAST_SLACK = 100, 2.0, 0.005, 5.0
+#: Units of a squared feature, which are summed as whole numbers.
+UNITS = 1 << 32
 #: Language families by ISO 639-1 code; a language in none is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi",
@@ -141,37 +144,58 @@ def fitted(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict
         table = labelled.sparkSession.createDataFrame(problems, "problem string, lang string, y int")
         done = points.join(F.broadcast(table), "lang").select("problem", "y", "x").groupBy("problem").applyInPandas(fit, "problem string, w binary")
         weights = {r.problem: np.frombuffer(r.w, np.float32) for r in done.collect()}
-    return {"groups": groups, "weights": weights, "points": points}
+    return {"groups": groups, "weights": weights}
 
 
-def calibrated(model: dict, labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict:
-    """The model with `likely` (a row of log likelihoods a language), `own` (what a language's texts reach) and slack.
+def shares(labelled: DataFrame) -> dict[str, np.ndarray]:
+    """The mean squared features of the texts of each lang of labelled (text, lang), all rows counted.
 
-    labelled: rows (doc_id, text, lang) of the languages learned that the model was not fitted on.
+    Whole UNITS are summed in tasks, then by language and feature, so that neither the number of rows nor their order matters.
     """
 
-    def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        share = np.mean([np.frombuffer(v, np.float32).astype(np.float64) ** 2 for v in rows["x"]], axis=0) + 1e-6
-        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "share": [(share / share.sum()).tobytes()]})
+    def summed(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), texts(batch), strict=True):
+                own = sums.setdefault(lang, np.zeros(1 << BITS, np.int64))
+                own += np.rint(features(text).astype(np.float64) ** 2 * UNITS).astype(np.int64)
+        for lang, own in sums.items():
+            at = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(own[at])], ["lang", "at", "units"])
+
+    found: dict[str, np.ndarray] = {}
+    # at most 2 ** BITS numbers a language
+    for r in labelled.select("lang", "text").mapInArrow(summed, "lang string, at long, units long").groupBy("lang", "at").agg(F.sum("units").alias("units")).collect():
+        found.setdefault(r.lang, np.zeros(1 << BITS))[r.at] = r.units
+    return {lang: own / own.sum() for lang, own in found.items()}
+
 
+def calibrated(model: dict, known: DataFrame, held: DataFrame) -> dict:
+    """The model with `likely` (a row of log likelihoods a language), `own` (what a language's texts reach) and slack.
+
+    known and held: rows (text, lang) of the languages learned, to count and to hold against the counts; every row of both
+    that has a letter is read.
+    """
     if not model["groups"]:
         return model
-    # one row of 2 ** BITS numbers a language
-    shares = np.stack([np.frombuffer(r.share) for r in sorted(model["points"].groupBy("lang").applyInPandas(counted, "lang string, share binary").collect())])
-    likely = np.log(shares)
-    own = (likely * shares).sum(1)
     langs = [lang for group in model["groups"].values() for lang in group]
-    usable = labelled.where(F.col("lang").isin(langs) & F.expr("text RLIKE '\\\\p{L}'"))
-    chosen = chosen_rows(usable.select("doc_id", "lang"), per_language)
-    sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi")
+    usable = F.col("lang").isin(langs) & F.expr("text RLIKE '\\\\p{L}'")
+    by = np.stack([x + 1e-6 for _, x in sorted(shares(known.where(usable)).items())])
+    by /= by.sum(1, keepdims=True)
+    likely = np.log(by)
+    own = (likely * by).sum(1)
 
     def deviations(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([float(deviation(t, features(t), likely, own)) for t in texts(batch)], pa.float64())], ["far"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([float(deviation(t, features(t), likely, own)) for t in texts(batch)], pa.float64())], ["lang", "far"])
 
-    far = sample.select("text").mapInArrow(deviations, "far double").selectExpr(f"percentile(far, {1 - SPARED}) far").first().far
+    # by thousandths, so that a percentile is of a bounded number of values however many rows there are
+    far = held.where(usable).select("lang", "text").mapInArrow(deviations, "lang string, far double").groupBy("lang", F.round("far", 3).alias("far")).agg(F.count("*").alias("n"))
+    far = far.groupBy("lang").agg(F.expr(f"percentile(far, {1 - SPARED}, n)").alias("far")).agg(F.max("far").alias("far")).first().far
     return model | {"likely": likely, "own": own, "slack": max(LEAST_SLACK, MARGIN * (far or 0.0))}
 
 
@@ -246,7 +270,7 @@ def in_known_language(docs: DataFrame, least: float = 0.25, per_language: int =
 
     Rejected are texts that are 'und' or whose score is under `least`; the rest stay with all their columns. 'und' are
     texts without a letter, and those that no learned language explains as well as it does its own labelled rows that
-    are held out (or its fitted ones, if none is).
+    are held out (or its other ones, if none is).
     """
     in_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
@@ -254,5 +278,5 @@ def in_known_language(docs: DataFrame, least: float = 0.25, per_language: int =
     held = docs.where(HELD_OUT).select("doc_id", "text", "lang")
     if not held.where("lang IS NOT NULL").head(1):
         held = known
-    rows = predicted(docs, calibrated(fitted(known, per_language), held, per_language), docs.columns)
+    rows = predicted(docs, calibrated(fitted(known, per_language), known, held), docs.columns)
     return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)

@@ -59,6 +59,16 @@ def test_unlearned_languages_are_rejected(spark):
     assert len(kept & with_letters) >= 0.995 * len(with_letters)
 
 
+def test_languages_are_held_against_all_labelled_rows(spark):
+    # a way of writing that few labelled rows have, so that a small sample knows none of them
+    rng = random.Random(1)
+    often = lambda: " ".join(rng.choice(["der", "hund", "und", "die", "katze", "ein", "haus"]) for _ in range(60))
+    seldom = lambda: " ".join(rng.choice(["\u4eba\u4eba", "\u751f\u800c", "\u81ea\u7531", "\u5c0a\u4e25"]) for _ in range(60))
+    rows = [(i, seldom() if i % 40 == 7 else often(), "xx") for i in range(1200)]
+    kept = {r.doc_id for r in in_known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=4).collect()}
+    assert kept == set(range(1200))
+
+
 def test_families_and_features():
     assert family("en") == family("de-AT") == "germanic" and family("fr") == family("es") == "romance" and family("xx") == "only xx"
     assert np.linalg.norm(features(b"")) <= 1 and np.linalg.norm(features("é".encode())) == pytest.approx(1)
