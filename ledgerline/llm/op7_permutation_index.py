@@ -24,6 +24,8 @@ PIVOTS, NEAR, QUERY_NEAR = 256, 128, 64
 BLOCK, QUERY_BLOCK = 8192, 512
 #: Of a block's rows, so many are ranked again, or all if there are fewer than LEAST.
 SHARE, LEAST = 0.03, 250
+#: Groups of blocks of the index, to each of which all queries are copied, and blocks of a group at most.
+GROUPS, GROUP = 64, 4
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -59,7 +61,7 @@ def blocks(rows: DataFrame, size: int, pivots: np.ndarray, near: int, name: str)
 
 
 def searched(met: DataFrame, near: int, asked: int, k: int) -> DataFrame:
-    """Of each pair of an index block and a query block (ids, firsts, v, orders, qids, qv, qorders): rows (q, cls, score), k a query.
+    """Of each pair of an index block and a query block (ids, firsts, v, orders, qids, qv, qorders): rows (q, cls, first, score), k a query.
 
     Of equal scores and equal footrules, those with the smallest `firsts` are taken.
     """
@@ -71,27 +73,38 @@ def searched(met: DataFrame, near: int, asked: int, k: int) -> DataFrame:
             found: list[tuple] = []
             for ids, firsts, v, order, qids, qv, qorder in zip(*(batch.column(c).to_pylist() for c in ("ids", "firsts", "v", "orders", "qids", "qv", "qorders")), strict=True):
                 x, q = np.frombuffer(v).reshape(len(ids), -1), np.frombuffer(qv).reshape(len(qids), -1)
-                pivot = np.frombuffer(order, np.int16)
-                by = np.argsort(pivot, kind="stable")
-                row, place = by // near, (by % near).astype(np.int32)
-                ends = np.searchsorted(pivot[by], np.arange(PIVOTS + 1))
+                # for every pivot, its place with every row, near where it isn't among the row's nearest
+                places = np.full((PIVOTS, len(ids)), near, np.uint8)
+                places[np.frombuffer(order, np.int16).reshape(len(ids), -1).T, np.arange(len(ids))] = np.arange(near, dtype=np.uint8)[:, None]
                 norms, ids, firsts = np.sqrt(np.einsum("ij,ij->i", x, x)), np.array(ids), np.array(firsts)
                 late = np.argsort(np.argsort(firsts, kind="stable"), kind="stable")
                 best = min(len(ids), max(LEAST, int(np.ceil(SHARE * len(ids)))))
+                place = np.arange(asked, dtype=np.uint8)[:, None]
                 for a, y, its in zip(qids, q, np.frombuffer(qorder, np.int16).reshape(len(qids), -1), strict=True):
                     # the footrule of two orders falls by what shared pivots gain: near - max(place, place) each
-                    gain = np.zeros(len(ids), np.int64)
-                    for j, p in enumerate(its[:asked].tolist()):
-                        posting = slice(ends[p], ends[p + 1])
-                        gain[row[posting]] += near - np.maximum(place[posting], j)
+                    gain = near * asked - np.maximum(places[its[:asked]], place).sum(axis=0, dtype=np.uint16).astype(np.int64)
                     top = np.argpartition(late - gain * len(ids), best - 1)[:best]
                     score = np.einsum("ij,j->i", x[top], y) / (norms[top] * np.sqrt(y @ y))
                     first = np.lexsort((firsts[top], -score))[:k]
-                    found += zip([a] * len(first), ids[top][first].tolist(), score[first].tolist(), strict=True)
-            cols = list(zip(*found, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["q", "cls", "score"])
+                    found += zip([a] * len(first), ids[top][first].tolist(), firsts[top][first].tolist(), score[first].tolist(), strict=True)
+            cols = list(zip(*found, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["q", "cls", "first", "score"])
 
-    return met.select("ids", "firsts", "v", "orders", "qids", "qv", "qorders").mapInArrow(search, "q long, cls long, score double")
+    return met.select("ids", "firsts", "v", "orders", "qids", "qv", "qorders").mapInArrow(search, "q long, cls long, first long, score double")
+
+
+def together(queries: DataFrame, index: DataFrame, n: int) -> DataFrame:
+    """Every block of queries with each of the n blocks of index (see blocks): rows (ids, firsts, v, orders, qids, qv, qorders).
+
+    Blocks of queries are copied once for each group of blocks of the index, of which there are up to GROUPS, or more if a
+    group had over GROUP blocks, and are dealt to them by a shuffle whatever the planner takes them for: it doesn't see that
+    the copies are many times the queries, and would send them through the driver.
+    """
+    groups = max(min(n, GROUPS), -(-n // GROUP))
+    dealt = index.withColumn("group", F.col("block") % groups)
+    copies = queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.col("ids").alias("qids"), F.col("v").alias("qv"), F.col("orders").alias("qorders"))
+    # a merge keeps one group of the index in memory, and goes through the queries
+    return copies.hint("merge").join(dealt, "group")
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
@@ -118,8 +131,9 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     asked = stored(rows.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.xxhash64("v").alias("q")).distinct(), "queries")
     index, n = blocks(classes.select(F.col("cls").alias("id"), F.get("ids", F.lit(0)).alias("first"), "v"), BLOCK, pivots, near, "index")
     queries, _ = blocks(asked.select(F.col("q").alias("id"), F.col("q").alias("first"), "v").distinct(), QUERY_BLOCK, pivots, near, "query-blocks")
-    to_all = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.col("ids").alias("qids"), F.col("v").alias("qv"), F.col("orders").alias("qorders"))
-    best = searched(to_all.join(index, "block"), near, min(QUERY_NEAR, near), k + 1)
+    # a member among the k + 1 nearest is of a class among the k + 1 nearest, as each class has its least member
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "first")
+    best = searched(together(queries, index, n), near, min(QUERY_NEAR, near), k + 1).withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     each = best.join(classes.select("cls", "ids"), "cls").select("q", "score", F.explode("ids").alias("vec_id")).distinct()
     top = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     lists = each.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).groupBy("q").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))

@@ -396,6 +396,21 @@ def test_nearest_exact_on_few(spark):
     assert [(r.rank, r.vec_id) for r in sorted(three, key=lambda r: r.rank)] == [(1, 2), (2, 1)]
 
 
+def test_nearest_sends_no_copies_of_queries_through_the_driver(spark, monkeypatch):
+    for name, value in (("BLOCK", 10), ("QUERY_BLOCK", 3)):
+        monkeypatch.setattr(f"ledgerline.llm.op7_permutation_index.{name}", value)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(700)]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = found.collect()
+    joins = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Join [block" in x or "Join [group" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by == {q: [i for i, _ in x] for q, x in brute_nearest(rows).items()}
+
+
 def test_nearest_ties_and_large_components(spark):
     rng = np.random.default_rng(5)
     rows = [(0, [1.0, 0.0, 0.0, 0.0])]
