@@ -1,9 +1,11 @@
-"""Folders for what a query writes and reads again."""
+"""Folders for what a query writes and reads again, and the disk of what it shuffles."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,3 +19,15 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.gettempdir() + "/ledgerline"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run within go with its end, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
